@@ -124,16 +124,29 @@ FEATURE_BITS = 17
 
 
 def hashed_features(words: Words, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed features (word heads, word tails) of each text: (offsets, indices)."""
+    """Distinct hashed features of each text: (offsets, indices).
+
+    Features are word heads and tails, and classes of length with the share of distinct
+    ones among them and with the share of words that repeat the one before.
+    """
     a, b = words.affixes()
-    row = np.repeat(np.arange(len(words.counts), dtype=np.uint64), words.counts) << np.uint64(bits)
+    texts = np.arange(len(words.counts), dtype=np.uint64)
+    row = np.repeat(texts, words.counts) << np.uint64(bits)
     low = np.uint64((1 << bits) - 1)
     keys = np.concatenate((row | (mix64(a) & low), row | (mix64(b + np.uint64(1 << 40)) & low)))
     keys.sort()
     if len(keys):
         keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
-    offsets = np.searchsorted(keys, np.arange(len(words.counts) + 1, dtype=np.uint64) << np.uint64(bits))
-    return offsets, (keys & low).astype(np.int32)
+    bounds = np.append(texts, np.uint64(len(texts))) << np.uint64(bits)
+    n = np.maximum(words.counts, 1)
+    distinct = np.diff(np.searchsorted(keys, bounds)) / (2 * n)
+    same = np.concatenate(((a[1:] == a[:-1]) & (b[1:] == b[:-1]), [False])) if len(a) else np.zeros(0, bool)
+    repeats = segment_sums(same, words.first) / n
+    size = np.minimum(np.log2(n + 1), 15).astype(np.uint64) * np.uint64(64)
+    shape = [mix64(size + (np.clip(x, 0, 1) * 20).astype(np.uint64) + np.uint64(k << 41)) & low for k, x in ((1, distinct), (2, repeats))]
+    keys = np.concatenate((keys, *[(texts << np.uint64(bits)) | x for x in shape]))
+    keys.sort()
+    return np.searchsorted(keys, bounds), (keys & low).astype(np.int32)
 
 
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -153,18 +166,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
 
 
-def fit_softmax(offsets: np.ndarray, idx: np.ndarray, target: np.ndarray, size: int, steps: int = 80, l2: float = 1e-5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_softmax(offsets: np.ndarray, idx: np.ndarray, target: np.ndarray, size: int, steps: int = 80, l2: float = 1e-5, rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression on binary sparse features by full-batch Adagrad.
 
-    target: (rows, classes), each row a distribution. Features count 1/sqrt(number in
-    the row) to the score. Returns (weights, bias).
+    target: (rows, classes), each row a distribution. Features count 1/sqrt(sqrt(number in
+    the row)) to the score. Returns (weights, bias).
     """
     rows, classes = target.shape
     w, bias = np.zeros((size, classes)), np.log(target.mean(0) + 1e-6)
     if not rows:
         return w.astype(np.float32), np.zeros(classes, np.float32)
     counts = np.diff(offsets)
-    scale = 1 / np.sqrt(np.maximum(counts, 1))
+    scale = np.maximum(counts, 1) ** -0.25
     row = np.repeat(np.arange(rows), counts)
     used, where = np.unique(idx, return_inverse=True)
     v, gw, gb = np.zeros((len(used), classes)), np.full((len(used), classes), 1e-8), np.full(classes, 1e-8)
@@ -186,6 +199,6 @@ def fit_softmax(offsets: np.ndarray, idx: np.ndarray, target: np.ndarray, size:
 def softmax_scores(words: Words, w: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Class probabilities of each text under fit_softmax's model."""
     offsets, idx = hashed_features(words)
-    s = segment_sums(w[idx], offsets) / np.sqrt(np.maximum(np.diff(offsets), 1))[:, None] + bias
+    s = segment_sums(w[idx], offsets) * (np.maximum(np.diff(offsets), 1) ** -0.25)[:, None] + bias
     p = np.exp(s - s.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)

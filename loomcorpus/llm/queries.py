@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from . import decision_list, line_runs, lsh_forest
+from . import decision_list, line_runs, lsh_forest, mixing, sp_viterbi
 from .common import table
 
 
+def op2_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark, sf_dir):
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_sentencepiece(spark, sf_dir):
+    return sp_viterbi.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark, sf_dir):
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
