@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decision_list, line_runs, lsh_forest, mixing, sp_viterbi
+from . import block_topk, decision_list, line_runs, lsh_forest, mixing, rlz, sp_viterbi
 from .common import table
 
 
@@ -10,10 +10,18 @@ def op2_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    return rlz.duplicate_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark, sf_dir):
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_top_k_search(spark, sf_dir):
+    return block_topk.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark, sf_dir):
     return sp_viterbi.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -31,4 +39,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op10_line_dedup": line_runs.SQL}
+    return {"op7_top_k_search": block_topk.SQL, "op10_line_dedup": line_runs.SQL}
