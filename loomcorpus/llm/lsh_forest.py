@@ -79,15 +79,21 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def region_edges(labels: np.ndarray, sketches: np.ndarray, depth: int, threshold: float) -> list[tuple[int, int]]:
-    """Verified pairs (i, j) of a region whose labels agree in their first `depth` hashes."""
+    """Links (first, other) that connect what verified pairs of a region connect.
+
+    The labels, sorted, agree in their first `depth` hashes.
+    """
     n = len(labels)
     if n < 2:
         return []
     if n <= ALL_PAIRS:
-        out = []
+        root = np.arange(n)
         for i in range(n - 1):
-            out += [(i, i + 1 + int(j)) for j in np.flatnonzero(agreement(sketches[i], sketches[i + 1 :]) >= threshold)]
-        return out
+            hit = np.flatnonzero(agreement(sketches[i], sketches[i + 1 :]) >= threshold) + i + 1
+            if len(hit):
+                met = np.unique(np.append(root[hit], root[i]))
+                root[np.isin(root, met)] = met[0]
+        return [(int(root[i]), i) for i in range(n) if root[i] != i]
     if depth < labels.shape[1]:  # sorted, so that the sub-regions are runs
         cut = np.concatenate(([0], np.flatnonzero(np.diff(labels[:, depth].astype(np.int64))) + 1, [n]))
         return [(int(a) + i, int(a) + j) for a, b in zip(cut[:-1], cut[1:]) for i, j in region_edges(labels[a:b], sketches[a:b], depth + 1, threshold)]
