@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import block_topk, decision_list, line_runs, lsh_forest, mixing, rlz, sp_viterbi
+from . import block_topk, decision_list, gru_lm, line_runs, lsh_forest, mixing, page_diff, rlz, sp_viterbi, weak_label
 from .common import table
 
 
+def op1_lm_scoring(spark, sf_dir):
+    return gru_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -18,6 +22,14 @@ def op4_quality_rules(spark, sf_dir):
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    return weak_label.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_extraction(spark, sf_dir):
+    return page_diff.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_top_k_search(spark, sf_dir):
     return block_topk.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
 
