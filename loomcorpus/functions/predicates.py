@@ -67,9 +67,13 @@ def generated(text: Column) -> Column:
 
 def few_letters(text: Column) -> Column:
     solid = F.regexp_replace(text, r"\s+", "")
-    n, ratio = F.length(solid), F.length(F.regexp_replace(solid, "[^a-zA-Z]+", "")) / F.length(solid)
-    math = about_math(text)
-    return (n < 1) | F.when(math, (n > 15) & (ratio < 0.4)).otherwise((n > 5) & (ratio < 0.65))
+    sizes = F.struct(F.length(solid).alias("n"), F.length(F.regexp_replace(solid, "[^a-zA-Z]+", "")).alias("letters"), about_math(text).alias("math"))
+
+    def rule(x):
+        ratio = x["letters"] / x["n"]
+        return (x["n"] < 1) | F.when(x["math"], (x["n"] > 15) & (ratio < 0.4)).otherwise((x["n"] > 5) & (ratio < 0.65))
+
+    return T.bind(sizes, rule)
 
 
 def many_symbols(text: Column) -> Column:
@@ -77,13 +81,16 @@ def many_symbols(text: Column) -> Column:
 
     With mathematics the total must pass 17 and 20: the ratio there is 0 times the tokens.
     """
-    text = flatten_formats(T.strip(text))
-    math = about_math(text)
-    each = [occurrences(text, s) > 6 for s in BRACKETS]
-    each += [occurrences(text, s) > F.when(math, 10 if s in MATH_SYMBOLS else 4).otherwise(4) for s in SYMBOLS]
-    total = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    limit = F.when(math, 20.0).otherwise(F.greatest(F.lit(15.0), 0.3 * T.token_count(text)))
-    return _any(each) | (total > limit)
+
+    def rule(text):
+        math = about_math(text)
+        each = [occurrences(text, s) > 6 for s in BRACKETS]
+        each += [occurrences(text, s) > F.when(math, 10 if s in MATH_SYMBOLS else 4).otherwise(4) for s in SYMBOLS]
+        total = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+        limit = F.when(math, 20.0).otherwise(F.greatest(F.lit(15.0), 0.3 * T.token_count(text)))
+        return _any(each) | (total > limit)
+
+    return T.bind(flatten_formats(T.strip(text)), rule)
 
 
 def few_characters(text: Column) -> Column:
@@ -93,9 +100,11 @@ def few_characters(text: Column) -> Column:
 
 def repeated_word(text: Column) -> Column:
     """The most frequent word, common ones aside, occurs 3 times or more and is over 30 % of all; or no word at all."""
-    words = T.plain_words(text)
-    most = T.longest_run(words, COMMON)
-    return (F.size(words) == 0) | ((most >= 3) & (most / F.size(words) > 0.3))
+
+    def rule(words):
+        return T.bind(T.longest_run(words, COMMON), lambda most: (F.size(words) == 0) | ((most >= 3) & (most / F.size(words) > 0.3)))
+
+    return T.bind(T.plain_words(text), rule)
 
 
 def many_variables(text: Column) -> Column:
@@ -133,7 +142,7 @@ STRICT = (question, unfinished, generated, few_letters, many_symbols, few_charac
 
 def bad_sentence(text: Column, loose: bool = False) -> Column:
     """Any rule of the list, or an empty text."""
-    return (text == "") | _any([rule(text) for rule in (LOOSE if loose else STRICT)])
+    return (text == "") | _any([rule(text) for rule in (LOOSE if loose else STRICT)])  # in order: `or` stops at the first that holds
 
 
 def skipped_name(name: Column, excluded: list[str] = ()) -> Column:

@@ -15,7 +15,12 @@ TOKEN = r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]"
 
 def strip(text: Column) -> Column:
     """Without white space at both ends (blanks, tabs and line ends alike)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
+def bind(value: Column, use) -> Column:
+    """use(value), with the value made once however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def tokens(text: Column) -> Column:
