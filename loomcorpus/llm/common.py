@@ -173,20 +173,26 @@ def fit_softmax(offsets: np.ndarray, idx: np.ndarray, target: np.ndarray, size:
     the row)) to the score. Returns (weights, bias).
     """
     rows, classes = target.shape
-    w, bias = np.zeros((size, classes)), np.log(target.mean(0) + 1e-6)
+    w = np.zeros((size, classes))
     if not rows:
         return w.astype(np.float32), np.zeros(classes, np.float32)
+    bias = np.log(target.mean(0) + 1e-6)
     counts = np.diff(offsets)
     scale = np.maximum(counts, 1) ** -0.25
-    row = np.repeat(np.arange(rows), counts)
-    used, where = np.unique(idx, return_inverse=True)
+    used = np.unique(idx)
+    place = np.zeros(size, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    where = place[idx]
     v, gw, gb = np.zeros((len(used), classes)), np.full((len(used), classes), 1e-8), np.full(classes, 1e-8)
+    s, g = np.empty((rows, classes)), np.empty_like(v)
     for _ in range(steps):
-        s = segment_sums(v[where], offsets) * scale[:, None] + bias
+        for c in range(classes):  # one class at a time: the driver holds one number for each feature, not one for each class
+            s[:, c] = segment_sums(v[:, c][where], offsets) * scale + bias[c]
         p = np.exp(s - s.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         e = (p - target) / rows
-        g = np.stack([np.bincount(where, (e[:, c] * scale)[row], len(used)) for c in range(classes)], 1) + l2 * v
+        for c in range(classes):
+            g[:, c] = np.bincount(where, np.repeat(e[:, c] * scale, counts), len(used)) + l2 * v[:, c]
         gw += g * g
         v -= rate * g / np.sqrt(gw)
         b = e.sum(0)

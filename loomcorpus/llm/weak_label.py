@@ -36,21 +36,31 @@ def _head(word: str) -> int:
 INSULT_HEADS = np.array(sorted({int.from_bytes(w.encode()[:6].ljust(6, b"\0"), "big") for w in INSULTS}), np.uint64)
 
 
-def mine_heads(words: Words, toxic: np.ndarray) -> np.ndarray:
-    """Four-byte word heads that occur with toxic texts beyond chance, and hardly elsewhere."""
-    base = toxic.mean() if len(toxic) else 0
+def _heads(batches):
+    """(head, n, hit): of some (text, toxic) rows, how many texts and how many toxic ones have each word head."""
+    for b in batches:
+        toxic = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for i, n, words in word_chunks(b.column(0)):
+            head, _ = words.affixes()
+            row = np.repeat(np.arange(n, dtype=np.uint64), words.counts)
+            pairs = np.unique((row << np.uint64(32)) | head)
+            heads, where = np.unique(pairs & np.uint64(2**32 - 1), return_inverse=True)
+            hit = np.bincount(where, toxic[i : i + n][(pairs >> np.uint64(32)).astype(np.int64)], len(heads))
+            yield pa.record_batch([pa.array(heads.astype(np.int64)), pa.array(np.bincount(where, minlength=len(heads))), pa.array(hit.astype(np.int64))], ["head", "n", "hit"])
+
+
+def mine_heads(rows: DataFrame) -> np.ndarray:
+    """Four-byte word heads that occur with toxic texts beyond chance, and hardly elsewhere. rows: text, toxic.
+
+    Counted where the texts are; the driver gets the heads that qualify.
+    """
+    base = rows.agg(F.avg("toxic")).first()[0] or 0
     if not 0 < base < 1:
         return np.zeros(0, np.uint64)
-    head, _ = words.affixes()
-    row = np.repeat(np.arange(len(words.counts), dtype=np.uint64), words.counts)
-    pairs = np.unique((row << np.uint64(32)) | head)
-    heads, where = np.unique(pairs & np.uint64(2**32 - 1), return_inverse=True)
-    total = np.bincount(where, minlength=len(heads))
-    hit = np.bincount(where, toxic[(pairs >> np.uint64(32)).astype(np.int64)], len(heads))
-    need = math.log(max(len(heads), 1) / MARKER_LEVEL) / math.log(1 / base)
-    full = (heads & np.uint64(0xFF)) != 0
-    good = np.flatnonzero((hit >= need) & (hit >= MARKER_PURITY * total) & full)
-    return np.sort(heads[good[np.argsort(-hit[good], kind="stable")][:MARKERS]])
+    counts = durable(rows.select("text", "toxic").mapInArrow(_heads, "head bigint, n bigint, hit bigint").groupBy("head").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")))
+    need = math.log(max(counts.count(), 1) / MARKER_LEVEL) / math.log(1 / base)
+    good = counts.where((F.col("hit") >= need) & (F.col("hit") >= MARKER_PURITY * F.col("n")) & (F.col("head") % 256 != 0))
+    return np.sort(np.array([r["head"] for r in good.orderBy(F.desc("hit"), "head").limit(MARKERS).collect()], np.uint64))
 
 
 def votes(words: Words, markers: np.ndarray) -> np.ndarray:
@@ -137,9 +147,7 @@ class WeakLabelModel:
     """
 
     def __init__(self, docs: DataFrame, labels: DataFrame):
-        rows = labelled_sample(docs, labels, MARKER_ROWS).where("quality = 1").select("text", "toxic").toArrow()
-        self.markers = self._mine(rows)
-        markers = self.markers
+        markers = self.markers = mine_heads(labelled_sample(docs, labels, MARKER_ROWS).where("quality = 1"))
 
         def patterns(batches):
             for b in batches:
@@ -167,12 +175,6 @@ class WeakLabelModel:
         target = np.frombuffer(b"".join(sample.column("p").to_pylist()), "<f8").reshape(-1, len(CLASSES)) if f else np.array([[1.0, 0, 0]])
         self.w, self.bias = fit_softmax(off, np.concatenate(f), target, 1 << FEATURE_BITS) if f else (np.zeros((1 << FEATURE_BITS, 3), np.float32), np.array([5, 0, 0], np.float32))
 
-    @staticmethod
-    def _mine(rows: pa.Table) -> np.ndarray:
-        toxic = rows.column("toxic").to_numpy().astype(float)
-        chunks = list(word_chunks(rows.column("text").combine_chunks(), 1 << 40))
-        return mine_heads(chunks[0][2], toxic) if chunks else np.zeros(0, np.uint64)
-
     def posterior_of(self, code: np.ndarray) -> np.ndarray:
         return self.posterior[np.searchsorted(self.codes, code)]
 
