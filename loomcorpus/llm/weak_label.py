@@ -26,7 +26,7 @@ MARKER_LEVEL, MARKER_PURITY, MARKERS = 0.05, 0.97, 256
 INSULTS = "idiot moron stupid scum loser trash pathetic worthless disgusting bastard imbecile idiota imbécil basura idiote crétin ordure connard trottel abschaum dummkopf arschloch".split()
 LABELLERS = ("symbols", "capitals", "variety", "repetition", "shouting", "length", "insults", "marker", "markers")
 FIRST_TOXIC = 6  # the labellers before look for junk, the rest for toxic words; GOOD means that a test is passed
-PRIOR = 0.05
+PRIOR, FALSE_ALARM = 0.05, 0.001
 
 
 def _head(word: str) -> int:
@@ -93,7 +93,7 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
             pick((distinct < 0.35) & (n > 20), distinct > 0.45),
             pick(repeat > 0.15, repeat < 0.05),
             pick(shout > 0.1, np.zeros(len(n), bool)),
-            pick(words.counts < 3, words.counts >= 10),
+            pick(np.zeros(len(n), bool), words.counts >= 10),  # a short text is no fault
             pick(insult > 0, np.zeros(len(n), bool), TOXIC),
             pick(marked > 0, marked == 0, TOXIC),
             pick(marked > 1, np.zeros(len(n), bool), TOXIC),
@@ -103,37 +103,44 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """EM: (posterior of each pattern, P(vote | class) of each labeller).
-
-    Starts from labellers that are mostly right about the fault they look for, which
-    counts as evidence of PRIOR times the corpus, so that a rare class isn't explained away.
+    """EM: (posterior of each pattern by class, P(vote | kind) of each labeller).
+
+    Faults exclude each other: a document of repeated words passes the test for symbols. So a
+    bad document is of one of several kinds, one for each junk labeller and one for toxic
+    words; a class is the sum of its kinds. A labeller votes by one distribution on its own
+    kind and by another, shared, on all others. Kinds that one labeller alone sees can't be
+    told from its false alarms by counts, so the start is evidence too: of PRIOR times the
+    corpus for what a labeller finds, and of the whole corpus for FALSE_ALARM of the rest.
     """
-    k, classes = patterns.shape[1], len(CLASSES)
-    likely = np.full((k, classes, 4), 0.04)
-    likely[:, :, NONE], likely[:, :, GOOD] = 0.3, 0.6
+    k = patterns.shape[1]
+    of_class = np.array([0, *[1] * FIRST_TOXIC, 2])  # good, junk of each labeller, toxic
+    kinds = len(of_class)
+    own = np.minimum(np.arange(k), FIRST_TOXIC) + 1
+    mine, rest = np.full((k, 4), 0.01), np.full((k, 4), 0.01)
+    mine[:, NONE], mine[:, GOOD], rest[:, NONE], rest[:, GOOD] = 0.05, 0.04, 0.3, 0.69
     for j in range(k):
         fault = TOXIC if j >= FIRST_TOXIC else JUNK
-        likely[j, fault - 1] = [0.3, 0.1, 0.04, 0.04]
-        likely[j, fault - 1, fault] = 0.6
-    likely /= likely.sum(2, keepdims=True)
-    pseudo = likely * max(20, PRIOR * counts.sum())
-    prior = np.array([0.8, 0.1, 0.1])
-    post = np.zeros((len(patterns), classes))
+        mine[j, fault], rest[j, fault] = 0.9, FALSE_ALARM
+    mine, rest = mine / mine.sum(1, keepdims=True), rest / rest.sum(1, keepdims=True)
+    start = mine * max(20, PRIOR * counts.sum()), rest * max(20, counts.sum())
+    prior = np.array([0.8, *[0.12 / FIRST_TOXIC] * FIRST_TOXIC, 0.08])
+    post = np.zeros((len(patterns), kinds))
+    cast = np.stack([[np.where(patterns[:, j] == v, counts, 0) for v in range(4)] for j in range(k)])  # (labellers, votes, patterns)
     for _ in range(rounds):
+        likely = np.repeat(rest[:, None], kinds, axis=1)
+        likely[np.arange(k), own] = mine
         log = np.log(prior) + sum(np.log(likely[j][:, patterns[:, j]]).T for j in range(k))
         new = np.exp(log - log.max(1, keepdims=True))
         new /= new.sum(1, keepdims=True)
         done = len(post) and np.abs(new - post).max() < 1e-7
-        post, weight = new, new * counts[:, None]
+        post = new
         if done:
             break
-        prior = (weight.sum(0) + 1) / (counts.sum() + classes)
-        for j in range(k):
-            for v in range(4):
-                likely[j, :, v] = weight[patterns[:, j] == v].sum(0)
-            likely[j] += pseudo[j]
-            likely[j] /= likely[j].sum(1, keepdims=True)
-    return post, likely
+        prior = ((post * counts[:, None]).sum(0) + 1) / (counts.sum() + kinds)
+        hit = np.stack([cast[j] @ post[:, own[j]] for j in range(k)])
+        mine, rest = hit + start[0], cast.sum(2) - hit + start[1]
+        mine, rest = mine / mine.sum(1, keepdims=True), rest / rest.sum(1, keepdims=True)
+    return post @ np.eye(len(CLASSES))[of_class], likely
 
 
 def _code(v: np.ndarray) -> np.ndarray:
