@@ -20,11 +20,12 @@ SYMBOLS = "!\"#$%&'*+-/:<=>?@\\^`|~"
 MATH_SYMBOLS = "|>=<^:/*-+"
 MATH_SIGNS = ["mathbf", "mathrm", "equation", "\\log(", "\\exp(", "\\sqrt("]
 COMMON = ["a", "an", "but", "for", "in", "it", "of", "or", "the"]
-DATE_PARTS = ["DD", "MM", "YY", "YYYY", "R,G,B", "R-G-B", "SS", "HH", "API"]
+DATE_PARTS = "DD MM YY YYYY R,G,B R-G-B SS HH API".split()
 SNAKE = r"[A-Za-z0-9_]+_[A-Za-z0-9_]+"
-CAMEL = r"[A-Z][A-Za-z0-9]*(?:[a-z][A-Za-z0-9]*[A-Z]|[A-Z][A-Za-z0-9]*[a-z])[A-Za-z0-9]*"
+_REST = "[A-Za-z0-9]*"
+CAMEL = f"[A-Z]{_REST}(?:[a-z]{_REST}[A-Z]|[A-Z]{_REST}[a-z]){_REST}"
 CALL = r"[a-zA-Z0-9]+(?:[.(][a-zA-Z0-9]+)+"
-URL = r"(?i)(?:(?:https?|ftp|file)://|(?:www|ftp)\.)[-?!:,.]*(?:[A-Z0-9+&@#/%=~_|$]|\([-?!:,.A-Z0-9+&@#/%=~_|$]*\))"
+URL = r"(?i)(?:(?:file|ftp|https?)://|(?:www|ftp)\.)[-?!:,.]*(?:[A-Z0-9+&@#/%=~_|$]|\([-?!:,.A-Z0-9+&@#/%=~_|$]*\))"
 LICENSES = "0BSD Apache-2.0 BSD-2-Clause BSD-3-Clause CC-BY-3.0 CC-BY-4.0 CC0-1.0 MIT MIT-0 RSA-MD WTFPL".split()
 
 
@@ -53,7 +54,7 @@ def bad_length(text: Column) -> Column:
 
 
 def question(text: Column) -> Column:
-    return F.endswith(text, F.lit("?")) | text.rlike(r"(?i)^(?:why\b|how\b|what'?s?\b|where\b|is\b|are\b)")
+    return F.endswith(text, F.lit("?")) | text.rlike(r"(?i)^(?:are|how|is|what'?s?|where|why)\b")
 
 
 def unfinished(text: Column) -> Column:
@@ -147,7 +148,7 @@ def bad_sentence(text: Column, loose: bool = False) -> Column:
 
 def skipped_name(name: Column, excluded: list[str] = ()) -> Column:
     """Names of dunders, getters, setters, tests, constructors and of `excluded`."""
-    marks = ["test_", "Test_", "_test", "toString", "constructor", "Constructor", *excluded]
+    marks = [*"Test_ test_ _test Constructor constructor toString".split(), *excluded]
     dunder = F.startswith(name, F.lit("__")) & F.endswith(name, F.lit("__"))
     return dunder | F.startswith(name, F.lit("set")) | F.startswith(name, F.lit("get")) | _any([F.contains(name, F.lit(m)) for m in marks])
 

@@ -59,15 +59,8 @@ def word_pieces(text: Column) -> Column:
 
 def identifier_parts(name: Column) -> Column:
     """Lower-case parts of an identifier, cut at underscores, blanks, camel case, digits and quotes or dots."""
-    cuts = [
-        "(?<=[a-z0-9])(?=[A-Z])",
-        "(?<=[A-Z0-9])(?=[A-Z][a-z])",
-        "(?<=[0-9])(?=[A-Za-z])",
-        "(?<=[A-Za-z])(?=[0-9])",
-        "(?<=[\"$'.@])(?=[A-Za-z0-9])",
-        "(?<=[A-Za-z0-9])(?=[\"$'.@])",
-        r"_|\s+",
-    ]
+    between = [("a-z0-9", "[A-Z]"), ("A-Z0-9", "[A-Z][a-z]"), ("0-9", "[A-Za-z]"), ("A-Za-z", "[0-9]"), ("\"$'.@", "[A-Za-z0-9]"), ("A-Za-z0-9", "[\"$'.@]")]
+    cuts = [f"(?<=[{left}])(?={right})" for left, right in between] + [r"_|\s+"]
     parts = F.filter(F.split(name, "|".join(cuts)), lambda p: p != "")
     return F.when(F.size(parts) == 0, F.array(name)).otherwise(F.transform(parts, F.lower))
 

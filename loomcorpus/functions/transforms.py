@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from . import tokens as T
 
 #: Literal beginnings of what a docstring says after its description, in the order they are cut at.
-AFTERTHOUGHTS = ["E.g", "e.g", "eg.", "Eg.", "Example usage:", "Created by", "Example:", "Note:", ". Note", "note::", "note:", ". note"]
+AFTERTHOUGHTS = "E.g|e.g|eg.|Eg.|Example usage:|Created by|Example:|Note:|. Note|note::|note:|. note".split("|")
+MARKERS = "/** /* <code> </code> *-*".split()
 SEPARATOR = "\u0001"
 FORMATS = [(order, signs) for case in (str.upper, str.lower) for order, signs in [(["hh", "mm", "ss"], ":-"), (["mm", "dd", "yy"], ":-"), (["mm", "dd", "yyyy"], ":-")] for order in [[case(x) for x in order]]]
 FORMATS += [(list("RGB"), ",-"), (list("rgb"), ",-")]
@@ -30,13 +31,13 @@ def _joined(lines: Column) -> Column:
 def drop_bracketed_links(text: Column) -> Column:
     """(http...), (see ...), (e.g ...) and the same in <>."""
     for left, right in ("()", "<>"):
-        text = F.regexp_replace(T.strip(text), rf"\{left}(?:http|see|e\.g|eg.).*?\{right}", "")
+        text = F.regexp_replace(T.strip(text), rf"\{left}(?:see|eg.|http|e\.g).*?\{right}", "")
     return T.strip(text)
 
 
 def drop_markers(text: Column) -> Column:
     """Comment openers and code tags, wherever they stand."""
-    for mark in ("/**", "/*", "<code>", "</code>", "*-*"):
+    for mark in MARKERS:
         text = F.when(F.contains(text, F.lit(mark)), T.strip(F.replace(text, F.lit(mark), F.lit("")))).otherwise(text)
     return text
 

@@ -22,14 +22,14 @@ ORNAMENTS = ".*-_@#$!\\/+"
 _SPANS = re.compile(r"\((?:i\.e|e\.g|\beg|\bie)[\s\S]+?\)", re.I)
 _RULERS = re.compile(r"(?:-|=|#|\*){5,}")
 _INLINE_TAG = re.compile(r"\{(@.*?)\}")
-_LINKS = [re.compile(rf"\{a}(?:http|see|e\.g|eg.).*?\{b}") for a, b in ("()", "<>")]
+_LINKS = [re.compile(rf"\{a}(?:see|eg.|http|e\.g).*?\{b}") for a, b in ("()", "<>")]
 _FRAMED = re.compile("|".join(rf"\{c}.*\{c}" for c in "*+-/=_"))
 _HEADS = [re.compile(rf"^\{c}{{2,}}") for c in ORNAMENTS]
 _TAILS = [re.compile(rf"\{c}{{2,}}$") for c in ORNAMENTS]
 _NAMES = [re.compile(r"^[a-zA-Z0-9_()]+:"), re.compile(r"^[a-zA-Z0-9_()]+\s-")]
 _SENTENCE = re.compile(r"(?<=.)[.!?](?=\s+)")
 _TOKEN = re.compile(TOKEN)
-_QUESTION = re.compile(r"^(?:why\b|how\b|what'?s?\b|where\b|is\b|are\b)", re.I)
+_QUESTION = re.compile(r"^(?:are|how|is|what'?s?|where|why)\b", re.I)
 _UNFINISHED = re.compile(r"^(?:Description of the Method|NOT YET DOCUMENTED|Missing[\s\S]+Description|not in use|Insert the method's description here|No implementation provided|\(non-Javadoc\)|todo|to-do|deprecate|copyright|fixme)", re.I)
 _GENERATED = re.compile(r"@[a-zA-Z]*generated\b|\Aauto[-\s]generated|\AThis method (?:initializes|was generated by)", re.I)
 _SNAKE, _CAMEL, _CALL, _URL = (re.compile(p) for p in (P.SNAKE, P.CAMEL, P.CALL, P.URL))
@@ -58,7 +58,7 @@ def drop_links(text: str) -> str:
 
 
 def drop_markers(text: str) -> str:
-    for mark in ("/**", "/*", "<code>", "</code>", "*-*"):
+    for mark in X.MARKERS:
         if mark in text:
             text = text.replace(mark, "").strip()
     return text

@@ -82,7 +82,7 @@ for _part in P.DATE_PARTS:
 RULES_SQL = {
     "not_english": r"(not regexp_full_match(text, '[\x00-\x7F]*', 's') or not regexp_matches(text, '[a-zA-Z0-9]'))",
     "bad_length": f"({_N} < 3 or {_count('text', chr(13) + chr(10) + '|[' + chr(10) + chr(13) + r'\x0b\x0c\x1c-\x1e]')} + case when regexp_matches(text, '[^\\n\\r\\x0b\\x0c\\x1c-\\x1e]\\z') then 1 else 0 end > 200)",
-    "question": r"(ends_with(text, '?') or regexp_matches(text, '(?i)^(?:why\b|how\b|what''?s?\b|where\b|is\b|are\b)'))",
+    "question": r"(ends_with(text, '?') or regexp_matches(text, '(?i)^(?:are|how|is|what''?s?|where|why)\b'))",
     "unfinished": r"regexp_matches(text, '(?i)^(?:Description of the Method|NOT YET DOCUMENTED|Missing[\s\S]+Description|not in use|Insert the method''s description here|No implementation provided|\(non-Javadoc\)|todo|to-do|deprecate|copyright|fixme)')",
     "generated": r"(regexp_matches(text, '(?i)@[a-zA-Z]*generated\b') or regexp_matches(text, '(?i)^(?:auto[-\s]generated|This method (?:initializes|was generated by))'))",
     "few_letters": f"(length({_SOLID}) < 1 or case when {_MATH} then length({_SOLID}) > 15 and length(regexp_replace(text, '[^a-zA-Z]+', '', 'g')) / length({_SOLID}) < 0.4 else length({_SOLID}) > 5 and length(regexp_replace(text, '[^a-zA-Z]+', '', 'g')) / length({_SOLID}) < 0.65 end)",
@@ -140,11 +140,11 @@ def p23_says_its_name(spark, sf_dir):
 
 _FRAMED = "|".join(rf"\{c}.*\{c}" for c in "*+-/=_")
 _LINES = f"string_split({_strip('text')}, chr(10))"
-_LINK1 = rf"regexp_replace({_strip('text')}, '\((?:http|see|e\.g|eg.).*?\)', '', 'g')"
+_LINK1 = rf"regexp_replace({_strip('text')}, '\((?:see|eg.|http|e\.g).*?\)', '', 'g')"
 
 
 def _markers(x: str) -> str:
-    for mark in ("/**", "/*", "<code>", "</code>", "*-*"):
+    for mark in X.MARKERS:
         x = f"case when contains({x}, {_q(mark)}) then {_strip(f'replace({x}, {_q(mark)}, {_q("")})')} else {x} end"
     return x
 
@@ -157,7 +157,7 @@ def _cuts(x: str) -> str:
 
 _SENTENCES = rf"list_filter(list_transform(string_split(regexp_replace(text, '([^\n])[.!?](\s)', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: {_strip('s')}), lambda s: s <> '')"
 _STEPS = {
-    "t2_bracketed_links": (X.drop_bracketed_links, _strip(rf"regexp_replace({_strip(_LINK1)}, '<(?:http|see|e\.g|eg.).*?>', '', 'g')")),
+    "t2_bracketed_links": (X.drop_bracketed_links, _strip(rf"regexp_replace({_strip(_LINK1)}, '<(?:see|eg.|http|e\.g).*?>', '', 'g')")),
     "t4_rulers": (X.blank_rulers, _strip(f"array_to_string(list_transform({_LINES}, lambda x: case when {_strip('x')} in ('*', '/', '=', '-', '+') then '' else x end), chr(10))")),
     "t5_framed_lines": (X.drop_framed_lines, _strip(f"array_to_string(list_filter(list_transform({_LINES}, lambda x: {_strip('x')}), lambda x: not regexp_full_match(x, {_q(_FRAMED)})), chr(10))")),
     "t7_leading_name": (X.drop_leading_name, _strip(r"regexp_replace(regexp_replace(text, '^[a-zA-Z0-9_()]+:', ''), '^[a-zA-Z0-9_()]+\s-', '')")),
