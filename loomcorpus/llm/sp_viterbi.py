@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 #: Production parameter: the vocabulary file of a public tokenizer.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 400_000
+REMEMBERED, PREFIXES, SHORT = 400_000, 1_000_000, 64
 SPACE = "▁"
 
 
@@ -117,14 +117,55 @@ class Encoder:
 
         class Memo(dict):
             def __missing__(self, unit):
-                out = np.array(list(outer.stream(unit)), "<i4").tobytes()
-                if len(unit) <= 64:
+                short = len(unit) <= SHORT
+                out = np.array(outer.short(unit) if short and outer.v.bpe else list(outer.stream(unit)), "<i4").tobytes()
+                if short:
                     if len(self) >= REMEMBERED:
                         self.clear()
                     self[unit] = out
                 return out
 
         self.memo = Memo()
+        self.last: dict[str, int] = {}
+        self.usable = {p: i for p, i in v.ids.items() if len(p) == 1 or v.parts(i)[0] >= 0} if v.bpe else {}
+
+    def short(self, text: str) -> list[int]:
+        """stream() of a short text for a BPE model. A position's backpointer depends on the text before
+        it alone, so those of prefixes that other words had are remembered; -2 marks a fallback."""
+        last, usable, longest, n = self.last, self.usable.get, self.v.longest, len(text)
+        known, follows = self.v._follows, self.v.follows
+        if len(last) > PREFIXES:
+            last.clear()
+        m = n
+        while m and text[:m] not in last:
+            m -= 1
+        tok = [-1, *[last[text[:j]] for j in range(1, m + 1)]]
+        for e in range(m + 1, n + 1):
+            found = -2
+            for k in range(e - longest if e > longest else 0, e):
+                i = usable(text[k:e])
+                if i is not None:
+                    a = tok[k]
+                    if a < 0:
+                        found = i
+                        break
+                    ok = known.get((a, i))
+                    if follows(a, i) if ok is None else ok:
+                        found = i
+                        break
+            tok.append(found)
+            last[text[:e]] = found
+        out: list[int] = []
+        while n:
+            i = tok[n]
+            if i >= 0:
+                out.append(i)
+                n -= len(self.v.piece[i])
+            else:
+                n -= 1
+                out += reversed(self.fallback(text[n]))
+        out.reverse()
+        return out
 
     def fallback(self, char: str) -> list[int]:
         v = self.v
