@@ -8,6 +8,10 @@ its group leaves at once, since no run through it repeats. Ranks at depth `min_l
 are the LCP intervals of at least that depth: suffixes of equal rank there share a run
 of `min_lines` lines. The union of the runs that start at a later member of an
 interval is the union of all maximal repeated runs' later copies, and is deleted.
+
+With `min_words`, a run of one line counts too if the line has that many words: the
+intervals of depth 1, kept to long lines. With `across_blanks`, suffixes are numbered by
+the lines that aren't blank, so that blank lines between don't break a run.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from .common import durable, key_columns, with_key
 
 #: Production parameter: a run of fewer lines is left alone.
 MIN_LINES = 2
+#: Of the pipeline: a single line of so many words is a run. The query goes by its SQL, which has no such rule.
+MIN_WORDS = 50
 
 
 def first_ranks(lines: DataFrame) -> DataFrame:
@@ -49,35 +55,65 @@ def refine(active: DataFrame, step: int) -> DataFrame:
     return pairs.join(named, ["r", "r2"]).select("d", "t", "i", F.col("rr").alias("r"))
 
 
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(d, t, gone): of each document the sorted indices of the lines to delete."""
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None, across_blanks: bool = False) -> DataFrame:
+    """(d, t, gone): of each document the sorted indices of the lines to delete, among all lines or, across blanks, among those that aren't blank."""
     texts = docs.where("text is not null").select(*key_columns(), F.split("text", "\n", -1).alias("a"))
-    lines = texts.select("d", "t", F.posexplode(F.transform("a", lambda x: F.when(F.trim(x) != "", F.xxhash64(F.rtrim(x))))).alias("i", "h")).where("h is not null")
-    active = lines.join(first_ranks(lines), "h").select("d", "t", "i", "r").dropDuplicates(["d", "t", "i"])
-    depth = 1
+    hashed = F.transform("a", lambda x: F.when(F.trim(x) != "", F.xxhash64(F.rtrim(x))))
+    if min_words is not None:
+        long = lambda x: (F.length(x) >= 2 * min_words - 1) & (F.size(F.array_remove(F.split(x, r"\s+"), "")) >= min_words)
+        hashed = F.transform("a", lambda x: F.when(F.trim(x) != "", F.struct(F.xxhash64(F.rtrim(x)).alias("h"), long(x).alias("long"))))
+    if across_blanks:
+        hashed = F.filter(hashed, lambda x: x.isNotNull())
+    lines = texts.select("d", "t", F.posexplode(hashed).alias("i", "h")).where("h is not null")
+    if min_words is not None:
+        lines = lines.select("d", "t", "i", "h.h", "h.long")
+    kept = ["d", "t", "i", "r"] + ["long"] * (min_words is not None)
+    active = lines.join(first_ranks(lines), "h").select(*kept).dropDuplicates(["d", "t", "i"])
+
+    def later(runs: DataFrame) -> DataFrame:
+        firsts = runs.groupBy("r").agg(F.min(F.struct("d", "t", "i")).alias("first"))
+        return runs.join(firsts, "r").where(F.struct("d", "t", "i") != F.col("first"))
+
+    depth, single = 1, None
+    if min_words is not None and min_lines > 1:
+        active = durable(active)
+        single = later(active.where("long")).select("d", "t", "i")
+        active = active.drop("long")
     while depth < min_lines:
         step = min(depth, min_lines - depth)
-        active = durable(active)
+        active = durable(active) if depth > 1 or single is None else active
         active, depth = refine(active, step), depth + step
-    firsts = active.groupBy("r").agg(F.min(F.struct("d", "t", "i")).alias("first"))
-    later = active.join(firsts, "r").where(F.struct("d", "t", "i") != F.col("first"))
-    cover = later.select("d", "t", F.explode(F.sequence(F.col("i"), F.col("i") + min_lines - 1)).alias("i"))
+    cover = later(active).select("d", "t", F.explode(F.sequence(F.col("i"), F.col("i") + min_lines - 1)).alias("i"))
+    if single is not None:
+        cover = cover.unionByName(single)
     return cover.groupBy("d", "t").agg(F.sort_array(F.collect_set("i")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, report: bool = False) -> DataFrame:
+def _with_blanks():
+    """__gone, which counts lines that aren't blank, as indices of all lines, with the blank lines between neighbours that both go."""
+    solid = F.expr("filter(transform(split(text, '\n', -1), (x, i) -> if(trim(x) != '', i, null)), i -> i is not null)")
+    spread = "transform(__gone, (g, k) -> if(get(__gone, k + 1) = g + 1, sequence(s[g], s[g + 1] - 1), array(s[g])))"
+    return F.when(F.col("__gone").isNotNull(), F.expr(f"flatten(transform(array(__solid), s -> {spread})[0])")), solid
+
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, report: bool = False, min_words: int | None = None, across_blanks: bool = False) -> DataFrame:
     """Documents without the later copies of runs of `min_lines` or more equal lines.
 
     Lines are equal without trailing blanks; blank lines match nothing and stay. The
-    first copy, by (doc_id, text hash, line), stays. All columns are kept; n_chars, if
+    first copy, by (doc_id, text hash, line), stays. With min_words, a single line of at least that
+    many words is a run as well. With across_blanks, lines with only blank lines between are
+    neighbours, and blank lines between two lines that go, go with them. All columns are kept; n_chars, if
     there, follows the text. A document of which every line goes keeps an empty text.
     Null texts stay null. Null ids count as one id before all others. Rows equal in id
     and text are one document and all get its result. An empty table gives an empty
     one. Extra columns pass through under any name that doesn't begin with "__".
     With report=True: doc_id, text, n_lines (0 for null), n_removed.
     """
-    gone = later_copies(docs, min_lines).select(F.col("d").alias("__key_d"), F.col("t").alias("__key_t"), F.col("gone").alias("__gone"))
+    gone = later_copies(docs, min_lines, min_words, across_blanks).select(F.col("d").alias("__key_d"), F.col("t").alias("__key_t"), F.col("gone").alias("__gone"))
     full = with_key(docs).join(gone, ["__key_d", "__key_t"], "left")
+    if across_blanks:
+        spread, solid = _with_blanks()
+        full = full.withColumn("__solid", F.when(F.col("__gone").isNotNull(), solid)).withColumn("__gone", spread)
     rest = F.expr("array_join(filter(split(text, '\n', -1), (x, i) -> not array_contains(__gone, i)), '\n')")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest)
     if report:

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -395,6 +396,14 @@ def test_line_runs(spark, k):
     assert {r.doc_id: r.text for r in line_runs.dedup_lines(df, k).collect()} == brute_lines(rows, k)
 
 
+def test_single_long_lines_are_runs(spark):
+    line = lambda n, k: " ".join(f"w{n}x{i}" for i in range(k))
+    rows = [(1, line(1, 60) + "\nown one"), (2, "before\n" + line(1, 60) + "  \nafter"), (3, line(1, 60)), (4, line(2, 49) + "\nx"), (5, line(2, 49) + "\ny"), (6, line(3, 50)), (7, "z\n" + line(3, 50))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {**dict(rows), 2: "before\nafter", 3: "", 7: "z"}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()} == want
+
+
 # queries
 
 
