@@ -3,10 +3,11 @@
 Each document's MinHash signature over word shingles labels a leaf of TREES prefix
 trees; a tree is a sorted order of labels. Documents that share the first MIN_DEPTH
 hashes of a label form a region. A region of up to ALL_PAIRS documents compares all
-its pairs; a larger one goes a hash deeper, by its own need, until it is small enough or
-the label ends. At the label's end a region is covered by leaders: the first document
-not yet matched meets all that are left, and those that match leave, so each document
-is compared until it has matched or led, and none is skipped.
+its pairs; a larger one goes a hash deeper first, by its own need, until it is small enough
+or the label ends. What the deeper regions leave apart is then compared across them: every
+document that has been reached from a group's first meets all that no group has yet, so
+that a region of any size links exactly what all its pairs would, and in a family of
+similar documents the rest shrinks with each step.
 
 Equal signatures are collapsed before the forest, so thousands of exact copies cost one
 entry. Verified pairs become groups by alternating large-star and small-star rounds.
@@ -75,7 +76,8 @@ def _sign(batches):
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated Jaccard similarity of one sketch with many: equal low bytes, less the chance of 1 in 256."""
-    return ((b == a).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
+    same = np.bitwise_count((b == a).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+    return (same / b.shape[-1] - 1 / 256) / (1 - 1 / 256)
 
 
 def region_edges(labels: np.ndarray, sketches: np.ndarray, depth: int, threshold: float) -> list[tuple[int, int]]:
@@ -94,14 +96,35 @@ def region_edges(labels: np.ndarray, sketches: np.ndarray, depth: int, threshold
                 met = np.unique(np.append(root[hit], root[i]))
                 root[np.isin(root, met)] = met[0]
         return [(int(root[i]), i) for i in range(n) if root[i] != i]
+    root = np.arange(n)
     if depth < labels.shape[1]:  # sorted, so that the sub-regions are runs
         cut = np.concatenate(([0], np.flatnonzero(np.diff(labels[:, depth].astype(np.int64))) + 1, [n]))
-        return [(int(a) + i, int(a) + j) for a, b in zip(cut[:-1], cut[1:]) for i, j in region_edges(labels[a:b], sketches[a:b], depth + 1, threshold)]
-    out, left = [], np.arange(n)
-    while len(left) > 1:
-        hit = agreement(sketches[left[0]], sketches[left[1:]]) >= threshold
-        out += [(int(left[0]), int(j)) for j in left[1:][hit]]
-        left = left[1:][~hit]
+        for a, b in zip(cut[:-1], cut[1:]):
+            for i, j in region_edges(labels[a:b], sketches[a:b], depth + 1, threshold) if b - a < n else ():
+                root[a + j] = a + i
+    # Then across the sub-regions, exactly: every document that has been reached meets all that haven't.
+    order = np.argsort(root, kind="stable")
+    members = {int(root[m[0]]): m.tolist() for m in np.split(order, np.flatnonzero(np.diff(root[order])) + 1)}
+    out, left, there, new = [], np.arange(n), sketches, np.zeros(n, bool)
+    while len(left):
+        first = int(left[0])
+        reach = list(members[int(root[first])])
+        out += [(first, j) for j in reach if j != first]
+        if len(reach) == 1:
+            left, there = left[1:], there[1:]
+        else:
+            new[reach] = True
+            stay = ~new[left]
+            left, there = left[stay], there[stay]
+        while reach and len(left):
+            hit = agreement(sketches[reach.pop()], there) >= threshold
+            if hit.any():
+                more = [j for k in np.unique(root[left[hit]]).tolist() for j in members[k]]
+                out += [(first, j) for j in more]
+                reach += more
+                new[more] = True
+                stay = ~new[left]
+                left, there = left[stay], there[stay]
     return out
 
 

@@ -352,6 +352,27 @@ def test_large_regions_keep_their_pairs():
     assert len(set(root)) == 3
 
 
+def test_a_region_of_any_size_links_what_all_its_pairs_do():
+    rng = np.random.default_rng(12)
+    for n, sim, share in ((5000, 0.55, 1), (5000, 0.6, 1), (1500, 0.5, 3)):
+        base = rng.integers(0, 2**32, (share, lsh_forest.HASHES), dtype=np.uint32)[rng.integers(0, share, n)]
+        signed = np.where(rng.random((n, lsh_forest.HASHES)) < 2 * sim / (1 + sim), base, rng.integers(0, 2**32, (n, lsh_forest.HASHES), dtype=np.uint32))
+        labels = signed[:, : lsh_forest.DEPTH].copy()
+        labels[:, : lsh_forest.MIN_DEPTH] = 7
+        order = np.lexsort(labels.T[::-1])
+        labels, sketches = labels[order], signed[order].astype(np.uint8)
+        want = np.arange(n)
+        for i in range(n - 1):
+            hit = np.flatnonzero((sketches[i + 1 :] == sketches[i]).mean(1) >= 0.55 * 255 / 256 + 1 / 256) + i + 1
+            if len(hit):
+                met = np.unique(np.append(want[hit], want[i]))
+                want[np.isin(want, met)] = met[0]
+        got = np.arange(n)
+        for i, j in lsh_forest.region_edges(labels, sketches, lsh_forest.MIN_DEPTH, 0.55):
+            got[j] = i
+        assert (got == want).all(), (n, sim, np.mean(got == want))
+
+
 def test_components(spark):
     rng = random.Random(10)
     pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(500, 600)]
