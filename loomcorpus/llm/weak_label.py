@@ -27,6 +27,8 @@ INSULTS = "idiot moron stupid scum loser trash pathetic worthless disgusting bas
 LABELLERS = ("symbols", "capitals", "variety", "repetition", "shouting", "length", "insults", "marker", "markers")
 FIRST_TOXIC = 6  # the labellers before look for junk, the rest for toxic words; GOOD means that a test is passed
 PRIOR, FALSE_ALARM = 0.05, 0.001
+#: Words of a window that variety is counted in: the share of distinct words falls with length in any text.
+VARIETY_WORDS = 1000
 
 
 def _head(word: str) -> int:
@@ -63,6 +65,18 @@ def mine_heads(rows: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["head"] for r in good.orderBy(F.desc("hit"), "head").limit(MARKERS).collect()], np.uint64))
 
 
+def variety(words: Words, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Distinct (head, tail) share of each text: the mean over consecutive windows of VARIETY_WORDS, by their words."""
+    windows = -(-words.counts // VARIETY_WORDS)
+    first = np.concatenate(([0], np.cumsum(windows)))
+    at = np.arange(len(head)) - np.repeat(words.first[:-1] - words.first[0], words.counts)
+    window = (np.repeat(first[:-1], words.counts) + at // VARIETY_WORDS).astype(np.uint64)
+    key = np.sort((window << np.uint64(40)) ^ ((head * np.uint64(2654435761) + tail) & np.uint64(2**40 - 1)))
+    new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+    of_text = np.repeat(np.arange(len(windows)), windows)[(key[new] >> np.uint64(40)).astype(np.int64)]
+    return np.bincount(of_text, minlength=len(windows)) / np.maximum(words.counts, 1)
+
+
 def votes(words: Words, markers: np.ndarray) -> np.ndarray:
     """(texts, labellers) votes."""
     n = np.maximum(words.counts, 1).astype(float)
@@ -77,9 +91,7 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
     digit = (solid >= 48) & (solid <= 57)
     plain = np.isin(solid, np.frombuffer(b".,;:'\"()-?", np.uint8)) | (solid >= 128)
     symbols, capitals = share(~(letter | digit | plain)), share((solid >= 65) & (solid <= 90))
-    row = np.repeat(np.arange(len(words.counts), dtype=np.uint64), words.counts)
-    key = np.sort((row << np.uint64(40)) ^ ((head * np.uint64(2654435761) + tail) & np.uint64(2**40 - 1)))
-    distinct = np.bincount((key[np.concatenate(([True], key[1:] != key[:-1]))] >> np.uint64(40)).astype(np.int64), minlength=len(n)) / n if len(key) else np.zeros(len(n))
+    distinct = variety(words, head, tail)
     same = np.concatenate(((head[1:] == head[:-1]) & (tail[1:] == tail[:-1]), [False])) if len(head) else np.zeros(0, bool)
     repeat = segment_sums(same, words.first) / n
     shout = segment_sums((tail >> np.uint64(8)) == np.uint64(0x2121), words.first) / n

@@ -234,6 +234,24 @@ def test_em_is_near_the_best_guess():
     assert np.abs(likely[np.arange(k), own, fault] - covered).max() < 0.3
 
 
+def test_variety_does_not_fall_with_length(spark):
+    import pyarrow as pa
+    from loomcorpus.llm.common import word_chunks
+
+    sf = "/root/testdata/sf0.1"
+    good = table(spark, sf, "documents").join(table(spark, sf, "labels").where("quality = 1 and toxic = 0"), "doc_id").orderBy("doc_id").select("lang", "text").collect()
+    at, markers = weak_label.LABELLERS.index("variety"), np.zeros(0, np.uint64)
+    of = lambda texts: np.concatenate([weak_label.votes(w, markers)[:, at] for _, _, w in word_chunks(pa.array(texts))])
+    by = defaultdict(list)
+    for r in good:
+        by[r.lang] += r.text.split()
+    long = [" ".join(w[:n]) for w in by.values() for n in (20_000, 40_000, 100_000) if len(w) >= n]
+    assert len(long) > 7 and (of(long) != weak_label.JUNK).all()
+    rng = random.Random(5)
+    poor = [" ".join(rng.choice(words) for _ in range(n)) for n in (100, 900, 20_000, 100_000) for words in [[f"word{k}" for k in range(30)]]]
+    assert (of(poor) == weak_label.JUNK).all() and list(of([" ".join(f"w{k}x" for k in range(30)), ""])) == [weak_label.GOOD, weak_label.NONE]
+
+
 # 6: pages
 
 
