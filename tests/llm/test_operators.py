@@ -443,6 +443,14 @@ def test_single_long_lines_are_runs(spark):
     assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()} == want
 
 
+def test_blank_lines_break_no_run_in_the_pipeline(spark):
+    shared = "one\n\ntwo\n  \n\nthree"
+    rows = [(1, "first\n\n" + shared), (2, shared + "\n\nend"), (3, "x\n\none\n\ny\n\ntwo\n\n" + shared), (4, shared), (5, "\n" + shared + "\n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {1: rows[0][1], 2: "\nend", 3: "x\n\none\n\ny\n\ntwo\n", 4: "", 5: "\n"}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()} == want
+
+
 # queries
 
 
