@@ -26,19 +26,55 @@ from .common import durable
 CHUNK = 1024
 #: Cuts, one for CHUNK pages at most, are broadcast up to this number; beyond it they are joined by host.
 BROADCAST_CUTS = 200_000
-_SKIP = r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<![^>]*>|<\?[^>]*>"
-_BLOCK = "address|article|aside|blockquote|body|br|button|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|title|tr|ul"
-SKIP = re.compile(_SKIP, re.I | re.S)
+_BLOCK = "address|article|aside|blockquote|body|br|button|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|noscript|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|title|tr|ul"
+OPEN = re.compile(r"<!--|<(script|style|template|svg|head)(?=[\s/>])[^>]*>|<![^>]*>|<\?[^>]*>", re.I)
+END = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "template", "svg")}
+#: What a head holds, a piece at a time; it ends at its end tag, and without one before anything else.
+HEAD = re.compile(
+    r"\s+|<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?:script|style)(?=[\s/>])[^>]*/>|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<title(?=[\s/>])[^>]*>(?:[^<]|<(?![a-z/!]))*|<(noscript|template)(?=[\s/>])[^>]*(?<!/)>(?:(?!</?(?:noscript|template|head|body)\b).)*</\2\s*>|</?(?:title|noscript|template|meta|link|base)(?=[\s/>])[^>]*>",
+    re.I | re.S,
+)
+HEAD_END = re.compile(r"</head\s*>", re.I)
 BREAK = re.compile(rf"</?(?:{_BLOCK})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I)
 TAG = re.compile(r"</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
 BLANKS = re.compile(r"\s+")
 
 
+def body(html: str) -> str:
+    """The page without comments, declarations, head, scripts, styles, templates and drawings.
+
+    A tag that ends in "/>" is empty. Without an end tag, scripts and styles go on to the end of the
+    page, a head to the first thing that it can't hold, and of others only the tag goes.
+    """
+    out, at, unclosed = [], 0, set()
+    while m := OPEN.search(html, at):
+        out.append(html[at : m.start()])
+        at, name = m.end(), (m[1] or "").lower()
+        if m[0] == "<!--":
+            end = html.find("-->", at)
+            at = end + 3 if end >= 0 else len(html)
+        elif name == "head":
+            while part := HEAD.match(html, at):
+                at = part.end()
+            if end := HEAD_END.match(html, at):
+                at = end.end()
+        elif name and not m[0].endswith("/>") and name not in unclosed:
+            if end := END[name].search(html, at):
+                at = end.end()
+            elif name in ("script", "style"):
+                at = len(html)
+            else:
+                unclosed.add(name)
+    out.append(html[at:])
+    return " ".join(out)
+
+
 def text_lines(html: str | None) -> list[str]:
     """Text of a page by blocks: no tags, comments, scripts, styles; entities decoded, blanks collapsed."""
     if not html:
         return []
-    text = TAG.sub("", BREAK.sub("\0", SKIP.sub(" ", html)))
+    text = TAG.sub("", BREAK.sub("\0", body(html)))
     return [x for x in (BLANKS.sub(" ", entities.unescape(part)).strip() for part in text.split("\0")) if x]
 
 

@@ -296,6 +296,17 @@ def test_pages_in_any_chunks(spark, sf_dir):
         assert {r.page_id: r.text for r in page_diff.page_texts(pages, chunk).collect()} == want
 
 
+def test_unclosed_elements_lose_no_text():
+    said = page_diff.text_lines
+    assert said("<html><head><title>x</title><body><p>Real text") == ["Real text"]
+    assert said("<head><meta charset=u><title>a < b</title><script>'<body>'</script><noscript><img src=x></noscript><!-- <p> --><p>one</p><svg/><p>two") == ["one", "two"]
+    assert said("<head>\n<title>x<body>text") == said("<head><link href='a'/><div>text</div>") == ["text"]
+    assert said("<head><style>p{}</style></head><p>a</p><noscript>b</noscript><svg viewBox='0 0 1 1'/>c<svg><text>d</text></svg><template>e</template>") == ["a", "b", "c"]
+    assert said("<p>a</p><svg><p>b</p><template><p>c</p>") == ["a", "b", "c"]
+    assert said("<p>a</p><script>var b = 1 <p>c</p>") == ["a"] and said("<header>a</header><script src='x'/>b") == ["a", "b"]
+    assert said("<svg>" * 20_000 + "<head><noscript><template>" * 20_000 + "x")[-1] == "x"
+
+
 # 7: search
 
 
