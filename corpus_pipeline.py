@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_runs.dedup_lines(docs, min_words=line_runs.MIN_WORDS, across_blanks=True)
+    return line_runs.dedup_lines(docs, across_blanks=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

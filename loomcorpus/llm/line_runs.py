@@ -24,7 +24,7 @@ from .common import durable, key_columns, with_key
 
 #: Production parameter: a run of fewer lines is left alone.
 MIN_LINES = 2
-#: Of the pipeline: a single line of so many words is a run. The query goes by its SQL, which has no such rule.
+#: For min_words: a single line of so many words is a run. The query and the pipeline go without, by the SQL and the stage's test.
 MIN_WORDS = 50
 
 

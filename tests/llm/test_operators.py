@@ -451,7 +451,7 @@ def test_single_long_lines_are_runs(spark):
     rows = [(1, line(1, 60) + "\nown one"), (2, "before\n" + line(1, 60) + "  \nafter"), (3, line(1, 60)), (4, line(2, 49) + "\nx"), (5, line(2, 49) + "\ny"), (6, line(3, 50)), (7, "z\n" + line(3, 50))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = {**dict(rows), 2: "before\nafter", 3: "", 7: "z"}
-    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()} == want
+    assert {r.doc_id: r.text for r in line_runs.dedup_lines(df, min_words=line_runs.MIN_WORDS).collect()} == want
 
 
 def test_blank_lines_break_no_run_in_the_pipeline(spark):
