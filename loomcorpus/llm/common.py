@@ -3,6 +3,7 @@ word hashing over Arrow buffers, hashed word features and labelled samples."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
@@ -15,16 +16,37 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 2**64)
 _POW = {"n": 0}
+_LIBC = ctypes.CDLL(None)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. Where it isn't set, one of its own in local mode, and an error on a cluster."""
+    sc = spark.sparkContext
+    at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not at and sc.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir isn't set; it must name a folder that all executors share")
+    if not at:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ckpt-"))
+        at = sc.getCheckpointDir()
+    return at.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the folder all executors share (spark.checkpoint.dir)."""
+    """Cut the lineage through the folder all executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def release() -> None:
+    """Give the memory that a task freed back to the system; its Python worker stays for the tasks after it."""
+    _POW.update(n=0, up=None, down=None)
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def key_columns() -> list[Column]:
     """Row identity: (document id, hash of text). Null ids and texts are values like any other."""
     return [F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("bigint").alias("d"), F.xxhash64("text").alias("t")]

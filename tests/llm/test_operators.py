@@ -327,17 +327,58 @@ def test_search_is_the_best_of_all(spark, docs, sf_dir):
 # 8: SentencePiece
 
 
-def test_ids_are_the_library_s(rows):
+def test_ids_are_the_library_s(rows, monkeypatch):
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=sp_viterbi.MODEL)
     enc = sp_viterbi.Encoder()
     rng = random.Random(8)
-    odd = ["", " ", "  two  blanks ", "\ttab\nline\r\n", "中文\U0001f600", "a" * 3000, "".join(rng.choice("abcde .,\né中") for _ in range(3000))]
-    for t in [t for _, t in rows] + odd:
-        ids = np.frombuffer(enc.encode(t), "<i4").tolist()
-        assert ids == sp.encode(t)
-        assert enc.decode(ids) == sp.decode(ids)
+    odd = ["", " ", "  two  blanks ", "\ttab\nline\r\n", "中文\U0001f600", "a" * 3000, "".join(rng.choice("abcde .,\né中") for _ in range(3000)), "".join(rng.choice("abcde") for _ in range(9000)), " \n \n\n  \n a", "|" * 300, "ab" * 500 + " " * 90 + "x"]
+    texts = [t for _, t in rows] + odd
+    want = [sp.encode(t) for t in texts]
+    for chunk in (sp_viterbi.CHUNK, 20_000):
+        monkeypatch.setattr(sp_viterbi, "CHUNK", chunk)
+        ids, n = enc.encode_many(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+        data, size = enc.decode_many(ids, n)
+        assert [x.tobytes().decode() for x in np.split(data, np.cumsum(size)[:-1])] == [sp.decode(x) for x in want]
+
+
+def test_unigram_paths_are_the_best(tmp_path):
+    """A unigram model (the scores of a file, its type changed) against a plain Viterbi over whole texts."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    with open(sp_viterbi.MODEL, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    rng = random.Random(3)
+    for p in proto.pieces:
+        p.score = -rng.uniform(2, 12) - len(p.piece)
+    (tmp_path / "u.model").write_bytes(proto.SerializeToString())
+    enc = sp_viterbi.Encoder(str(tmp_path / "u.model"))
+    v = enc.v
+    for t in ["the cat sat on the mat", "a" * 400, "".join(rng.choice("aeionst ") for _ in range(2000)), "中文\U0001f600 x"]:
+        s = sp_viterbi.SPACE + t.replace(" ", sp_viterbi.SPACE)
+        best = [0.0]
+        for e in range(1, len(s) + 1):
+            all_ = [best[k] + v.score[v.ids[s[k:e]]] for k in range(max(0, e - v.longest), e) if s[k:e] in v.ids]
+            best.append(max(all_) if all_ else best[e - 1] + v.worst)
+        ids = enc.encode(t)
+        odd = [c for c in s if c not in v.ids]
+        got = sum(v.score[i] for i in ids if i not in v.byte_id.values()) + v.worst * len(odd)
+        assert abs(got - best[-1]) < 1e-6 and enc.decode(ids) == t
+
+
+def test_commits_keep_the_window_small():
+    """Paths of a long word without white space are committed as they meet: the rings never grow with the text."""
+    enc = sp_viterbi.Encoder()
+    rng = random.Random(4)
+    committed = []
+    real = enc._commit
+    enc._commit = lambda out, first, done, tok, back, lanes, upto: (committed.append((len(tok), *upto.tolist())), real(out, first, done, tok, back, lanes, upto))
+    enc.encode("".join(rng.choice("abcdefghij") for _ in range(5000)))
+    assert max(c[0] for c in committed) == 4 * enc.v.longest and len([c for c in committed if len(c) == 2]) > 100
 
 
 def test_decoding_gives_the_text_back(docs):
