@@ -6,13 +6,12 @@ stage before, written as Parquet and read again.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcorpus.llm import decision_list, line_runs, lsh_forest, mixing, sp_viterbi
-from loomcorpus.llm.common import table
+from loomcorpus.llm.common import shared_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,13 +47,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the documents of sf_dir; what is between them goes to the shared folder."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stages-")
-    at = f"{shared.rstrip('/')}/stages-{uuid.uuid4().hex}"
+    """The stages over the documents of sf_dir.
+
+    What is between them goes to the shared folder; a stage's input is deleted when its
+    output is written, but for that of the last, which the result reads. Null ids and texts, repeated
+    rows and empty tables pass as each stage's operator says.
+    """
+    at = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{at}/{k}")
             docs = spark.read.parquet(f"{at}/{k}")
+            if k:
+                files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{at}/{k - 1}"), True)
     return docs
