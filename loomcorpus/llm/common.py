@@ -52,9 +52,18 @@ def key_columns() -> list[Column]:
     return [F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("bigint").alias("d"), F.xxhash64("text").alias("t")]
 
 
-def with_key(docs: DataFrame, prefix: str = "__key_") -> DataFrame:
-    d, t = key_columns()
-    return docs.withColumns({prefix + "d": d, prefix + "t": t})
+def with_key(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its two key columns, and their names, which no other column has."""
+    names = [unused(docs.columns, "__key_d"), unused(docs.columns, "__key_t")]
+    return docs.withColumns(dict(zip(names, key_columns()))), names
+
+
+def unused(columns: list[str], name: str) -> str:
+    """The name, with as many underscores before it as keep it apart from the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,14 +187,17 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, n: int) -> DataFrame:
-    """At most n documents that have labels, drawn by a hash of the id: (doc_id, text, quality, toxic).
+    """At most n documents that have labels, drawn by a hash of the id: (doc_id, text, quality, toxic), one row for an id.
 
     n is the bound of everything that is fitted on the driver; the sample of labels is
-    small enough to be broadcast for any size of the corpus.
+    small enough to be broadcast for any size of the corpus. Of several labels of an id the least
+    (quality, toxic) counts, and of several texts the least by (hash, text). Nulls take no part.
     """
     chosen = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and quality is not null and toxic is not null")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(n)
-    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct("quality", "toxic")).alias("l")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("doc_id", "l.*")
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "quality", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x"))
+    return one.select("doc_id", "x.text", "quality", "toxic")
 
 
 def fit_softmax(offsets: np.ndarray, idx: np.ndarray, target: np.ndarray, size: int, steps: int = 80, l2: float = 1e-5, rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:

@@ -109,8 +109,9 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, report: bool = Fals
     one. Extra columns pass through under any name that doesn't begin with "__".
     With report=True: doc_id, text, n_lines (0 for null), n_removed.
     """
-    gone = later_copies(docs, min_lines, min_words, across_blanks).select(F.col("d").alias("__key_d"), F.col("t").alias("__key_t"), F.col("gone").alias("__gone"))
-    full = with_key(docs).join(gone, ["__key_d", "__key_t"], "left")
+    keyed, names = with_key(docs)
+    gone = later_copies(docs, min_lines, min_words, across_blanks).select("d", "t", "gone").toDF(*names, "__gone")
+    full = keyed.join(gone, names, "left")
     if across_blanks:
         spread, solid = _with_blanks()
         full = full.withColumn("__solid", F.when(F.col("__gone").isNotNull(), solid)).withColumn("__gone", spread)

@@ -236,8 +236,9 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     Columns as they are. Rows equal in id and text are copies: one stays, unless the
     text is null or wordless, which match nothing.
     """
-    gone = near_groups(docs, threshold).select(F.col("u.d").alias("__key_d"), F.col("u.t").alias("__key_t"))
-    left = with_key(docs).join(gone, ["__key_d", "__key_t"], "left_anti")
+    keyed, names = with_key(docs)
+    gone = near_groups(docs, threshold).select("u.d", "u.t").toDF(*names)
+    left = keyed.join(gone, names, "left_anti")
     blank = F.coalesce(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")) == "", F.lit(True))
-    one = left.where(~blank).dropDuplicates(["__key_d", "__key_t"])
+    one = left.where(~blank).dropDuplicates(names)
     return one.unionByName(left.where(blank)).select(*[f"`{c}`" for c in docs.columns])

@@ -112,39 +112,52 @@ def test_lm_counts_every_word(spark, docs, rows):
 
 
 def test_rates_meet_the_targets(spark, docs, sf_dir):
+    """The query's rates, row by row: within bounds, and each domain's words within 1 % of what can be reached."""
     labels = table(spark, sf_dir, "labels")
-    out = mixing.mix(docs, labels).collect()
-    total = np.zeros(3)
-    for r in out:
-        total += r.rate * r.n_words * np.array([r.p_good, r.p_low, r.p_toxic])
+    out = queries.op2_source_mixing(spark, sf_dir).collect()
+    p = np.array([[r.p_good, r.p_low, r.p_toxic] for r in out])
+    mass, rate = p * np.array([r.n_words for r in out])[:, None], np.array([r.rate for r in out])
+    anchor = p[:, 0] >= 0.5
+    assert (rate >= np.where(anchor, 1, 0) - 1e-9).all() and (rate <= mixing.MAX_RATE).all()
     want = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
-    assert np.abs(total / total.sum() - want).max() < 0.005
+    want = want / want[0] * mass[:, 0].sum()
+    reachable = np.clip(want, mass[anchor].sum(0), np.where(anchor, 1, mixing.MAX_RATE) @ mass)
+    assert np.abs((rate @ mass) / reachable - 1).max() < 0.01, (rate @ mass, reachable)
+    rates = mixing.fit_rates(mixing.posteriors(docs, mixing.DomainClassifier(docs, labels)))
+    assert np.allclose(rates.reachable, reachable, rtol=1e-3)
 
 
-def test_rates_are_those_of_the_full_vector_iteration(spark):
+def test_rates_are_the_best_within_bounds():
+    """Brute force: no rate can move within its bounds and bring the sums nearer (the problem is convex), nor do random ones."""
     rng = np.random.default_rng(5)
-    p = rng.dirichlet([1, 0.6, 0.4], 300)
-    n = rng.integers(0, 400, 300)
-    scored = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n bigint, p array<double>")
-    gradients = mixing.fit_rates(scored)
-    gram = (p * n[:, None]).T @ p
-    want = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
-    want = want / want.sum() * (p * n[:, None]).sum(0)[0] / (want[0] / want.sum())
-    r = np.ones(300)
-    for _ in gradients:  # the gradient for all rates at once, and the step back to r >= 0
-        g = np.linalg.pinv(gram) @ ((p * (n * r)[:, None]).sum(0) - want)
-        r = np.maximum(0, r - p @ g)
-    got = [x[0] for x in scored.select(mixing.rate(F.col("p"), gradients)).collect()]
-    assert np.allclose(got, r, atol=1e-6)
+    for alpha, most in (([1, 0.6, 0.4], 4.0), ([20, 0.4, 0.1], 2.0), ([3, 3, 3], 1.5), ([30, 0.01, 0.01], 4.0)):
+        p = rng.dirichlet(alpha, 300)
+        mass = p * rng.integers(1, 400, 300)[:, None]
+        want = np.array([0.97, 0.02, 0.01]) / 0.97 * mass[:, 0].sum()
+        low = (p[:, 0] >= 0.5).astype(float)
+        r = mixing.project(mass, low, want, most)
+        e = lambda x: (x @ mass - want) / want
+        assert (r >= low).all() and (r <= most).all()
+        g = mass @ (e(r) / want)
+        scale = 1e-3 * np.abs(mass / want).max()
+        assert (g[r < most - 1e-6] > -scale).all() and (g[r > low + 1e-6] < scale).all()
+        value = (e(r) ** 2).sum()
+        assert all((e(np.clip(r + rng.normal(0, s, 300), low, most)) ** 2).sum() >= value * (1 - 1e-6) - 1e-9 for s in (1e-3, 0.1, 1) for _ in range(200))
 
 
 def test_copies_follow_rates(spark, docs, sf_dir):
     labels = table(spark, sf_dir, "labels")
-    rates = {r.doc_id: (r.rate, r.p_good) for r in mixing.mix(docs, labels).collect()}
+    rates = {r.doc_id: r.rate for r in mixing.mix(docs, labels).collect()}
     copies = Counter(r.doc_id for r in mixing.resample(docs, labels).collect())
-    for i, (rate, good) in rates.items():
-        low, high = math.floor(rate), math.ceil(rate + 1e-4)
-        assert max(low, int(good >= 0.5)) <= copies[i] <= max(high, 1)
+    assert all(math.floor(r) <= copies[i] <= math.ceil(r + 1e-4) <= mixing.MAX_RATE + 1 for i, r in rates.items())
+
+
+def test_labels_that_repeat_count_once(spark, docs):
+    from loomcorpus.llm.common import labelled_sample
+
+    labels = spark.createDataFrame([(1, 1, 1), (1, 0, 1), (1, 0, 1), (2, 1, 0), (2, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    twice = docs.where("doc_id in (1, 2)").union(docs.where("doc_id = 1"))
+    assert sorted((r.doc_id, r.quality, r.toxic) for r in labelled_sample(twice, labels, 9).collect()) == [(1, 0, 1), (2, 1, 0)]
 
 
 # 3: substring dedup

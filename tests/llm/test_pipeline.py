@@ -39,7 +39,7 @@ def test_stages_and_run(spark, sf_dir, tmp_path):
     copies = Counter(r.doc_id for r in mixed.collect())
     assert set(copies) <= kept
     for i, r in rates.items():
-        assert max(np.floor(r.rate), r.p_good >= 0.5) <= copies[i] <= max(np.ceil(r.rate + 1e-4), 1)
+        assert np.floor(r.rate) <= copies[i] <= np.ceil(r.rate + 1e-4) <= mixing.MAX_RATE + 1
 
     sp = sentencepiece.SentencePieceProcessor(model_file=sp_viterbi.MODEL)
     texts = {r.doc_id: r.text for r in mixed.collect()}
