@@ -500,6 +500,47 @@ def test_line_runs(spark, k):
     assert {r.doc_id: r.text for r in line_runs.dedup_lines(df, k).collect()} == brute_lines(rows, k)
 
 
+def longest_runs(rows):
+    """Of each document the longest run of lines that occurs before, by comparing all suffixes with all before."""
+    suffixes, out = [], {}
+    for i, t in rows:
+        key = [x.rstrip(" ") or None for x in t.split("\n")]
+        best = 0
+        for a in range(len(key)):
+            for other, b in suffixes:
+                n = 0
+                while a + n < len(key) and b + n < len(other) and key[a + n] is not None and key[a + n] == other[b + n]:
+                    n += 1
+                best = max(best, n)
+            suffixes.append((key, a))
+        out[i] = best
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_maximal_runs_are_followed_to_their_ends(spark, k):
+    rng = random.Random(20 + k)
+    line = lambda: rng.choice(["a", "b", "c ", "", "dd", "e", "f", "g"])
+    long = [f"line {i}" for i in range(75)]
+    rows = [(i, "\n".join([line() for _ in range(rng.randrange(9))] + long[(a := rng.randrange(70)) : a + rng.randrange(40)] + [line() for _ in range(rng.randrange(5))])) for i in range(40)]
+    rows += [(40 + i, rows[rng.randrange(40)][1]) for i in range(10)]  # whole copies
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.run_depth for r in line_runs.dedup_lines(df, k, report=True).collect()}
+    want = {i: k * 2 ** int(math.log2(n // k)) if n >= k else 0 for i, n in longest_runs(rows).items()}
+    assert got == want and max(want.values()) >= 16
+    assert {r.doc_id: r.text for r in line_runs.dedup_lines(df, k).collect()} == brute_lines(rows, k)
+
+
+def test_one_line_in_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(line_runs, "RANGES", 4)
+    rng = random.Random(31)
+    rows = [(i, "\n".join("same" if rng.random() < 0.9 else f"x{rng.randrange(12)}" for _ in range(rng.randrange(1, 12)))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = line_runs.dedup_lines(df, report=True).collect()
+    want = {i: 2 ** int(math.log2(n)) if n >= 2 else 0 for i, n in longest_runs(rows).items()}
+    assert {r.doc_id: r.text for r in out} == brute_lines(rows, 2) and {r.doc_id: r.run_depth for r in out} == want
+
+
 def test_single_long_lines_are_runs(spark):
     line = lambda n, k: " ".join(f"w{n}x{i}" for i in range(k))
     rows = [(1, line(1, 60) + "\nown one"), (2, "before\n" + line(1, 60) + "  \nafter"), (3, line(1, 60)), (4, line(2, 49) + "\nx"), (5, line(2, 49) + "\ny"), (6, line(3, 50)), (7, "z\n" + line(3, 50))]
