@@ -1,18 +1,24 @@
 """Substring dedup: relative Lempel-Ziv parsing.
 
-Every document is parsed greedily into factors, longest matches in the text of earlier
-documents; factors of MIN_WORDS words or more are duplicate spans. As no shorter factor
-counts, the reference is indexed by the hashes of its windows of MIN_WORDS words, each
-at its first occurrence, which makes a window one entry however often it is copied. The
-index is cut into blocks by hash; a document meets every block, each with those of its
-windows that hash there, and a factor is a run of windows that advance together in the
-document and in the reference.
+Every document is parsed greedily into factors, longest matches in earlier documents; factors of
+MIN_WORDS words or more are duplicate spans. As no shorter factor counts, the reference is
+indexed by windows of MIN_WORDS words, by 96 bits of hash, each at its first place in the corpus. That
+place is the window's name: two texts agree over a stretch if their windows have the same names there. So
+each document is rewritten as runs, (where, length, first place), of which there are few, and parsing needs
+no texts: from the first window that is not in a factor yet, each candidate is followed along its own runs, and
+the one that goes on longest gives the factor. Candidates are the documents that hold the first place of
+a window of the stretch, and those that were the first to pass from one run to another as the stretch does,
+once, or twice, four, eight, ... times in a row. The next factor may begin inside the one before: windows over a
+factor's boundary are windows like any other.
+
+The index is cut into blocks by hash, and every document meets every block, each with those of its
+windows that hash there. Blocks are sorted outside memory, so that a window that most documents have is
+a long run of rows and nothing that must be held.
 
 Only windows that can repeat are sent. The least hash of ANCHOR words inside a window is
 its anchor, shared by most windows next to it and by all its copies; anchors are counted
-first, and a window whose anchor one document alone has can't repeat. That filter
-loses nothing. Copies of a whole text are
-settled by its hash and go no further.
+first, and a window whose anchor one text alone has can't repeat. That filter
+loses nothing. Copies of a whole text are settled by its hash and go no further.
 """
 
 from __future__ import annotations
@@ -23,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NO_ID, Words, durable, key_columns, mix64, word_chunks
-from .common import _powers
+from .common import NO_ID, Words, _powers, durable, key_columns, mix64, release, word_chunks
 
 MIN_WORDS, ANCHOR = 50, 20
 
@@ -49,9 +54,9 @@ def _slide(x: np.ndarray, w: int, op) -> np.ndarray:
     return op(out[: len(out) - (w - size)], out[w - size :]) if size < w else out
 
 
-def anchors(words: Words, min_words: int = MIN_WORDS, k: int = ANCHOR) -> np.ndarray:
+def anchors(words: Words, h: np.ndarray, min_words: int = MIN_WORDS, k: int = ANCHOR) -> np.ndarray:
     """For each window of min_words words the least hash of k words inside, its anchor; 0 over a text's end."""
-    g, w = grams(words.hashes(), k), min_words - k + 1
+    g, w = grams(h, k), min_words - k + 1
     if len(g) < w:
         return np.zeros(0, np.uint64)
     low = _slide(np.maximum(g, np.uint64(1)), w, np.minimum)
@@ -68,7 +73,7 @@ def _anchor_rows(min_words: int, k: int):
     def run(batches):
         for b in batches:
             for i, n, words in word_chunks(b.column(2)):
-                low = anchors(words, min_words, k)
+                low = anchors(words, words.hashes(), min_words, k)
                 at = _runs(low)
                 at = at[low[at] != 0]
                 g, off = low[at], np.searchsorted(at, words.first)
@@ -77,94 +82,189 @@ def _anchor_rows(min_words: int, k: int):
                 lists = [np.unique(g[off[r] : off[r + 1]]).view(np.int64) for r in rows]
                 size = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
                 flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-                yield pa.record_batch([b.column(0).take(take), b.column(1).take(take), pa.array(words.counts[rows]), pa.ListArray.from_arrays(pa.array(size), pa.array(flat))], ["d", "t", "n", "fps"])
+                yield pa.record_batch([b.column(0).take(take), b.column(1).take(take), pa.array(words.counts[rows].astype(np.int64)), pa.ListArray.from_arrays(pa.array(size), pa.array(flat))], ["d", "t", "n", "fps"])
+        release()
 
     return run
 
 
-def _window_blocks(blocks: int, min_words: int, k: int):
-    """Of each document's windows that may repeat, those for each block: packed arrays."""
+def _windows(min_words: int, k: int):
+    """(h, g, d, t, p) of each window that may repeat, at word p; h, g: its hash."""
 
     def run(batches):
         for b in batches:
             d, t = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for i, n, words in word_chunks(b.column(2), 1 << 23):
-                low = anchors(words, min_words, k)
+            for i, n, words in word_chunks(b.column(2), 1 << 21):
+                h = words.hashes()
+                low = anchors(words, h, min_words, k)
                 at = _runs(low)
                 row = np.searchsorted(words.first, at, side="right") - 1
                 known = [np.asarray(x, np.int64) for x in b.column(3)[i : i + n].to_numpy(zero_copy_only=False)]
                 keys = np.concatenate([mix64(x.view(np.uint64) + np.uint64(r)) for r, x in enumerate(known)]) if known else np.zeros(0, np.uint64)
                 shared = (low[at] != 0) & np.isin(mix64(low[at] + row.astype(np.uint64)), keys)
                 ok = np.flatnonzero(np.repeat(shared, np.diff(np.append(at, len(low)))))
-                h = grams(words.hashes(), min_words)
                 if not len(ok):
                     continue
-                h = h[ok]
+                one, two = grams(h, min_words)[ok], grams(h * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(9), min_words)[ok]
                 r = np.searchsorted(words.first, ok, side="right") - 1
-                block = (h % np.uint64(blocks)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
-                cut = np.searchsorted(block[order], np.arange(blocks + 1))
-                pos = (ok - words.first[r]).astype(np.uint32)
-                out = []
-                for x in np.flatnonzero(np.diff(cut)):
-                    o = order[cut[x] : cut[x + 1]]
-                    own, local = np.unique(r[o], return_inverse=True)
-                    ids = np.stack((d[i + own], t[i + own]), 1).astype("<i8")
-                    out.append((int(x), h[o].astype("<u8").tobytes(), local.astype("<u4").tobytes(), pos[o].tobytes(), ids.tobytes()))
-                yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[j] for o in out], pa.binary()) for j in range(1, 5)]], ["b", "h", "own", "pos", "ids"])
+                p = (ok - words.first[r]).astype(np.int32)
+                for a in range(0, len(ok), 50_000):
+                    z = slice(a, a + 50_000)
+                    yield pa.record_batch([pa.array(one[z].view(np.int64)), pa.array((two[z] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(d[i + r[z]]), pa.array(t[i + r[z]]), pa.array(p[z])], ["h", "g", "d", "t", "p"])
+        release()
 
     return run
 
 
-def _look_up(groups: int):
-    """Of one partition's blocks: each window that an earlier document has, with its first place there."""
+def _compress(batches):
+    """Runs (d, t, p, n, rd, rt, rp, lo, hi) of rows (d, t, p, rd, rt, rp) in order of d, t, p.
 
-    def run(batches):
-        hs, ds, ts, ps = [], [], [], []
-        for b in batches:
-            for h, own, pos, ids in zip(*[b.column(j).to_pylist() for j in range(1, 5)]):
-                at, own = np.frombuffer(ids, "<i8").reshape(-1, 2), np.frombuffer(own, "<u4")
-                hs.append(np.frombuffer(h, "<u8"))
-                ps.append(np.frombuffer(pos, np.uint32))
-                ds.append(at[own, 0])
-                ts.append(at[own, 1])
-        if not hs:
-            return
-        h, d, t, p = map(np.concatenate, (hs, ds, ts, ps))
-        order = np.argsort(h, kind="stable")
-        new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
-        size = np.diff(np.concatenate((np.flatnonzero(new), [len(h)])))
-        order = order[np.repeat(size > 1, size)]  # most windows are alone; the rest is put in full order
-        if not len(order):
-            return
-        order = order[np.lexsort((p[order], t[order], d[order], h[order]))]
-        h, d, t, p = h[order], d[order], t[order], p[order]
-        start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        first = np.repeat(start, np.diff(np.concatenate((start, [len(h)]))))
-        later = np.flatnonzero((d != d[first]) | (t != t[first]))
-        f = first[later]
-        d, t, p, rd, rp = d[later], t[later], p[later], d[f], p[f]
-        group = (mix64(d.view(np.uint64) ^ mix64(t.view(np.uint64))) % np.uint64(groups)).astype(np.int64)
-        order = np.lexsort((p, t, d, group))
-        cut = np.searchsorted(group[order], np.arange(groups + 1))
-        for x in np.flatnonzero(np.diff(cut)):
-            o = order[cut[x] : cut[x + 1]]
-            yield pa.record_batch([pa.array([int(x)], pa.int32()), *[pa.array([v[o].tobytes()], pa.binary()) for v in (d, t, p, rd, rp)]], ["g", "d", "t", "p", "rd", "rp"])
-
-    return run
-
-
-def parse(p: np.ndarray, rd: np.ndarray, rp: np.ndarray, min_words: int) -> list[tuple[int, int, list[int]]]:
-    """Duplicate spans (start, end, reference ids) of one document from its matched windows, in order of p.
+    n windows from p on have their first places from rp on in document (rd, rt); lo, hi: the
+    stretch of such windows, at places of other documents, that the run is part of.
+    """
+    names = ["d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi"]
+    held: list[np.ndarray] = []  # runs of the document in hand
+
+    def flush(runs: np.ndarray):
+        d, t, p, n, rd, rt, _ = runs
+        foreign = (rd != d) | (rt != t)
+        new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (p[1:] != p[:-1] + n[:-1]) | (foreign[1:] != foreign[:-1])))
+        of, start = np.cumsum(new) - 1, np.flatnonzero(new)
+        last = np.append(start[1:], len(p)) - 1
+        return pa.record_batch([pa.array(x) for x in (*runs, p[start][of], (p + n)[last][of])], names)
+
+    for b in batches:
+        x = np.stack([b.column(k).to_numpy().astype(np.int64) for k in range(6)])
+        if not x.shape[1]:
+            continue
+        same = (x[:, 1:] == x[:, :-1]).all(0)
+        x = x[:, np.concatenate(([True], ~same))]  # rows equal in id and text are one document
+        d, t, p, rd, rt, rp = x
+        new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (p[1:] != p[:-1] + 1) | (rd[1:] != rd[:-1]) | (rt[1:] != rt[:-1]) | (rp[1:] != rp[:-1] + 1)))
+        at = np.flatnonzero(new)
+        n = np.diff(np.append(at, len(p)))
+        runs = np.stack((d[at], t[at], p[at], n, rd[at], rt[at], rp[at]))
+        if held:
+            old = held[-1]
+            e = old[:, -1]
+            f = runs[:, 0]
+            if (e[[0, 1, 4, 5]] == f[[0, 1, 4, 5]]).all() and e[2] - e[6] == f[2] - f[6] and f[2] <= e[2] + e[3]:
+                old[3, -1] = f[2] + f[3] - e[2]
+                runs = runs[:, 1:]
+            held.append(runs)
+            runs = np.concatenate(held, 1)
+        end = np.flatnonzero((runs[0] != runs[0, -1]) | (runs[1] != runs[1, -1]))
+        cut = int(end[-1]) + 1 if len(end) else 0
+        if cut:
+            yield flush(runs[:, :cut])
+        held = [runs[:, cut:]]
+    if held and held[0].shape[1]:
+        yield flush(held[0])
+
+
+def _passages(batches):
+    """(d, t, lo, hi, p, key) where a document passes from one run to the next inside a stretch, at its last window p of the first.
+
+    A key for each 1, 2, 4, ... such steps in a row. Keys only find candidates, which are then followed run by run.
+    """
+    names = ["d", "t", "lo", "hi", "p", "key"]
+    for b in batches:
+        out = []
+        for d, t, own in zip(*[b.column(k).to_pylist() for k in range(3)]):
+            own = sorted((r["p"], r["n"], r["rd"], r["rt"], r["rp"], r["lo"], r["hi"]) for r in own)
+            if len(own) < 2:
+                continue
+            x = np.array(own, np.int64).T
+            p, n, rd, rt, rp, lo, hi = x
+            foreign = (rd != d) | (rt != t)
+            at = np.flatnonzero((lo[1:] == lo[:-1]) & foreign[1:] & foreign[:-1])
+            if not len(at):
+                continue
+            one = lambda i, q: mix64(mix64(mix64(rd[i].view(np.uint64)) + rt[i].view(np.uint64)) + q.view(np.uint64))
+            key = mix64(one(at, rp[at] + n[at] - 1) + np.uint64(3) * one(at + 1, rp[at + 1]))
+            # A longer step must also be as long in words as the one it is compared with.
+            step, k = 1, at
+            while len(k):
+                out.append(np.stack((np.full(len(k), d), np.full(len(k), t), lo[k], hi[k], p[k] + n[k] - 1, key.view(np.int64))))
+                j = np.arange(len(k) - step)
+                j = j[k[j + step] == k[j] + step] if len(j) else j
+                far = (p[k[j + step]] + n[k[j + step]] - p[k[j]] - n[k[j]]).astype(np.uint64)
+                key = mix64(key[j] + mix64(key[j + step] + far))
+                k, step = k[j], step * 2
+                if len(k) <= step:
+                    break
+        if out:
+            x = np.concatenate(out, 1)
+            yield pa.record_batch([pa.array(c) for c in x], names)
+
+
+def matches(own: list[tuple], delta: int, source: tuple, runs: list[tuple]) -> list[tuple[int, int]]:
+    """Stretches (first, end) of windows of a document that `source` has `delta` words further on.
+
+    own, runs: (p, n, place, rp) of the document and of the source, in order; place: (d, t) of the first place.
+    """
+    out: list[tuple[int, int]] = []
 
-    A factor goes on while window and reference advance by one word together. The next
-    factor may begin inside the one before, where it runs over its end: windows over
-    a factor boundary are windows like any other. Factors that touch make one span.
+    def add(a, z):
+        if out and out[-1][1] == a:
+            out[-1] = (out[-1][0], z)
+        else:
+            out.append((a, z))
+
+    k = 0
+    for p, n, place, rp in own:
+        if place == source:
+            if rp - p == delta:
+                add(p, p + n)
+            continue
+        while k < len(runs) and runs[k][0] + runs[k][1] <= p + delta:
+            k += 1
+        j = k
+        while j < len(runs) and runs[j][0] < p + n + delta:
+            q, m, there, rq = runs[j]
+            if there == place and rq - q + delta == rp - p:
+                add(max(p, q - delta), min(p + n, q + m - delta))
+            j += 1
+    return out
+
+
+def parse(own: list[tuple], candidates: list[tuple]) -> list[tuple[int, int, int]]:
+    """Greedy factors (first window, end window, id of the source) of one document.
+
+    own: its runs (p, n, place, rp, lo, hi) at places of other documents, in order; candidates: (place, delta, lo, hi,
+    runs of the source around) for each source, shift and stretch. Of several longest matches that of the
+    first document counts.
     """
-    cut = np.flatnonzero((np.diff(p) != 1) | (rd[1:] != rd[:-1]) | (np.diff(rp) != 1)) + 1
+    factors: list[tuple[int, int, int]] = []
+    by: dict[int, list] = {}
+    for c in candidates:
+        by.setdefault(c[2], []).append(c)
+    at = 0
+    while at < len(own):
+        lo, hi = own[at][4], own[at][5]
+        end = at
+        while end < len(own) and own[end][4] == lo:
+            end += 1
+        region = [r[:4] for r in own[at:end]]
+        found = sorted((a, z, place, delta) for place, delta, _, _, runs in by[lo] for a, z in matches(region, delta, place, runs))
+        p, k, best = lo, 0, None
+        while p < hi:
+            while k < len(found) and found[k][0] <= p:
+                f = found[k]
+                if best is None or (-f[1], f[2], f[3]) < (-best[1], best[2], best[3]):
+                    best = f
+                k += 1
+            factors.append((p, best[1], best[2][0]))
+            p = best[1]
+        at = end
+    return factors
+
+
+def spans_of(factors: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, list[int]]]:
+    """Duplicate spans (start, end, reference ids): factors that touch make one, with their references in order."""
     spans: list[tuple[int, int, list[int]]] = []
-    for a, z in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(p)]))):
-        start, end, ref = int(p[a]), int(p[z - 1]) + min_words, int(rd[a])
+    for a, z, ref in factors:
+        start, end = a, z - 1 + min_words
         if spans and start <= spans[-1][1]:
             s, e, refs = spans[-1]
             spans[-1] = (s, max(e, end), refs if ref in refs else [*refs, ref])
@@ -173,19 +273,17 @@ def parse(p: np.ndarray, rd: np.ndarray, rp: np.ndarray, min_words: int) -> list
     return spans
 
 
-def _spans(min_words: int):
+def _parse(min_words: int):
     def run(batches):
-        parts = [[np.frombuffer(x, kind) for b in batches_ for x in b.column(j + 1).to_pylist()] for batches_ in [list(batches)] for j, kind in enumerate(("<i8", "<i8", np.uint32, "<i8", np.uint32))]
-        if not parts[0]:
-            return
-        d, t, p, rd, rp = map(np.concatenate, parts)
-        order = np.lexsort((p, t, d))
-        d, t, p, rd, rp = d[order], t[order], p[order].astype(np.int64), rd[order], rp[order].astype(np.int64)
-        cut = np.flatnonzero((d[1:] != d[:-1]) | (t[1:] != t[:-1])) + 1
-        rows = [(int(d[a]), *s) for a, z in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(d)]))) for s in parse(p[a:z], rd[a:z], rp[a:z], min_words)]
-        for a in range(0, len(rows), 5000):
-            c = list(zip(*rows[a : a + 5000]))
-            yield pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.list_(pa.int64()))], ["d", "start_word", "end_word", "refs"])
+        for b in batches:
+            rows = []
+            for d, t, own, candidates in zip(*[b.column(k).to_pylist() for k in range(4)]):
+                mine = sorted((r["p"], r["n"], (r["rd"], r["rt"]), r["rp"], r["lo"], r["hi"]) for r in own if (r["rd"], r["rt"]) != (d, t))
+                others = [((c["rd"], c["rt"]), c["delta"], c["lo"], c["hi"], sorted((r["p"], r["n"], (r["rd"], r["rt"]), r["rp"]) for r in c["runs"] or [])) for c in candidates]
+                rows += [(d, *s) for s in spans_of(parse(mine, others), min_words)]
+            for a in range(0, len(rows), 5000):
+                c = list(zip(*rows[a : a + 5000]))
+                yield pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.list_(pa.int64()))], ["d", "start_word", "end_word", "refs"])
 
     return run
 
@@ -195,25 +293,40 @@ def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Words are what stands between ASCII white space; end_word is exclusive. Documents
     are ordered by (doc_id, text hash); a repeat inside one document alone is none. A
-    span is the union of factors of min_words words or more, and names the first
-    document of each. Null and shorter texts have no spans. Rows equal in id and text are
+    span is the union of factors of min_words words or more that touch, and names their
+    documents in order. Null and shorter texts have no spans. Rows equal in id and text are
     one document. A null id comes before all others and is null in the result. An empty
     table gives no rows; extra columns are ignored.
+
+    Factors are the longest among the candidates; a document that has no first place in the stretch and
+    wasn't the first to take any of its steps is none, even where it has more of them in a row than each of those.
     """
     k = max(1, min(ANCHOR, min_words // 2))
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.where("text is not null").select(*key_columns(), "text")
-    w = Window.partitionBy("t").orderBy("d")
     marked = texts.mapInArrow(_anchor_rows(min_words, k), "d bigint, t bigint, n bigint, fps array<bigint>")
-    marked = durable(marked.withColumns({"copy": F.row_number().over(w), "fd": F.first("d").over(w)}))
-    copies = marked.where("copy > 1 and d != fd").select("d", F.lit(0).alias("start_word"), F.col("n").cast("int").alias("end_word"), F.array("fd").alias("refs")).distinct()
-    rows = marked.where("copy = 1").select("d", "t", F.explode("fps").alias("fp"))
-    own = Window.partitionBy("fp")
-    shared = rows.withColumn("lo", F.min("t").over(own)).withColumn("hi", F.max("t").over(own)).where("lo != hi").groupBy("d", "t").agg(F.collect_list("fp").alias("fps"))
-    sent = texts.join(shared, ["d", "t"]).select("d", "t", "text", "fps")
-    blocks = sent.mapInArrow(_window_blocks(n, min_words, k), "b int, h binary, own binary, pos binary, ids binary").repartition(n, "b")
-    found = blocks.mapInArrow(_look_up(n), "g int, d binary, t binary, p binary, rd binary, rp binary").repartition(n, "g")
-    spans = found.mapInArrow(_spans(min_words), "d bigint, start_word int, end_word int, refs array<bigint>")
+    first = durable(marked.groupBy("t").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("fps").alias("fps")))
+    copies = texts.select("d", "t").distinct().join(first.select("t", F.col("d").alias("fd"), "n"), "t").where("d != fd")
+    copies = copies.select("d", F.lit(0).alias("start_word"), F.col("n").cast("int").alias("end_word"), F.array("fd").alias("refs"))
+    rows = first.select("d", "t", F.explode("fps").alias("fp"))
+    shared = rows.groupBy("fp").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo != hi").select("fp")
+    mine = rows.join(shared, "fp").groupBy("d", "t").agg(F.collect_list("fp").alias("fps"))
+    windows = texts.join(mine, ["d", "t"]).select("d", "t", "text", "fps").mapInArrow(_windows(min_words, k), "h bigint, g int, d bigint, t bigint, p int")
+    place = F.first(F.struct("d", "t", "p")).over(Window.partitionBy("h", "g").orderBy("d", "t", "p"))
+    named = windows.withColumn("f", place).where(F.struct("d", "t", "p") != F.col("f")).select("d", "t", "p", F.col("f.d").alias("rd"), F.col("f.t").alias("rt"), F.col("f.p").alias("rp"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = named.repartition(n, "d", "t").sortWithinPartitions("d", "t", "p")
+    runs = ordered.mapInArrow(_compress, ", ".join(f"{c} bigint" for c in ("d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi")))
+    own = durable(runs.groupBy("d", "t").agg(F.collect_list(F.struct("p", "n", "rd", "rt", "rp", "lo", "hi")).alias("own")))
+    sources = own.select(F.col("d").alias("rd"), F.col("t").alias("rt"), F.transform("own", lambda r: F.struct(*[r[c].alias(c) for c in ("p", "n", "rd", "rt", "rp")])).alias("runs"))
+    run = F.col("run")
+    holders = own.select("d", "t", F.explode("own").alias("run")).select("d", "t", run.rd.alias("rd"), run.rt.alias("rt"), (run.rp - run.p).alias("delta"), run.lo.alias("lo"), run.hi.alias("hi"))
+    steps = durable(own.mapInArrow(_passages, ", ".join(f"{c} bigint" for c in ("d", "t", "lo", "hi", "p", "key"))))
+    pioneers = steps.groupBy("key").agg(F.min(F.struct("d", "t", "p")).alias("f"), F.count("*").alias("c")).where("c > 1").select("key", "f")
+    passed = steps.join(pioneers, "key").select("d", "t", F.col("f.d").alias("rd"), F.col("f.t").alias("rt"), (F.col("f.p") - F.col("p")).alias("delta"), "lo", "hi")
+    pairs = holders.unionByName(passed).where("rd < d or rd = d and rt < t").distinct()
+    near = F.filter("runs", lambda r: (r["p"] < F.col("hi") + F.col("delta")) & (r["p"] + r["n"] > F.col("lo") + F.col("delta")))
+    followed = pairs.join(sources, ["rd", "rt"], "left").select("d", "t", F.struct("rd", "rt", "delta", "lo", "hi", near.alias("runs")).alias("c"))
+    both = own.join(followed.groupBy("d", "t").agg(F.collect_list("c").alias("candidates")), ["d", "t"])
+    spans = both.select("d", "t", "own", "candidates").mapInArrow(_parse(min_words), "d bigint, start_word int, end_word int, refs array<bigint>")
     null = lambda c: F.when(c != NO_ID, c)
     return spans.union(copies).select(null(F.col("d")).alias("doc_id"), "start_word", "end_word", F.transform("refs", null).alias("ref_doc_ids"))

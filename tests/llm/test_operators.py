@@ -177,11 +177,87 @@ def brute_spans(rows, k):
     return out
 
 
+def brute_parse(rows, k):
+    """Greedy factors over words: at each place the longest match in an earlier document, the first of several; those
+    of k words or more make spans, and the next may begin up to k - 1 words before the last one's end."""
+    places, texts, out = defaultdict(list), {}, {}
+    for i, t in rows:
+        w = texts[i] = t.encode().split()
+        windows = [tuple(w[a : a + k]) for a in range(len(w) - k + 1)]
+        spans, a = [], 0
+        while a < len(windows):
+            n, j = 0, None
+            for other, b in places[windows[a]]:
+                m = k
+                while a + m < len(w) and b + m < len(texts[other]) and w[a + m] == texts[other][b + m]:
+                    m += 1
+                if m > n:
+                    n, j = m, other
+            if not n:
+                a += 1
+                continue
+            if spans and a <= spans[-1][1]:
+                s, e, refs = spans[-1]
+                spans[-1] = (s, a + n, refs if j in refs else [*refs, j])
+            else:
+                spans.append((a, a + n, [j]))
+            a += n - k + 1
+        out |= {(i, s): (e, refs) for s, e, refs in spans}
+        for b, x in enumerate(windows):
+            places[x].append((i, b))
+    return out
+
+
 @pytest.mark.parametrize("k", [50, 12])
 def test_spans_are_those_of_all_windows(docs, rows, k):
-    got = rlz.duplicate_spans(docs, k).collect()
-    assert {(r.doc_id, r.start_word): r.end_word for r in got} == brute_spans(rows, k)
-    assert all(ref < r.doc_id for r in got for ref in r.ref_doc_ids)
+    got = {(r.doc_id, r.start_word): (r.end_word, r.ref_doc_ids) for r in rlz.duplicate_spans(docs, k).collect()}
+    assert {x: e for x, (e, _) in got.items()} == brute_spans(rows, k)
+    assert got == brute_parse(rows, k)  # here no source is missed
+
+
+def test_factors_are_the_longest(spark):
+    w = lambda a, z: " ".join(f"w{i}" for i in range(a, z))
+    rows = [(1, w(0, 60)), (2, w(0, 100)), (3, w(0, 100) + " own"), (4, w(5, 105)), (5, w(0, 105) + " x"), (6, "y " + w(0, 105))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.start_word): (r.end_word, r.ref_doc_ids) for r in rlz.duplicate_spans(df).collect()}
+    assert got == brute_parse(rows, 50)
+    assert got[3, 0] == (100, [2]) and got[6, 1] == (106, [5])
+
+
+def test_factors_of_shuffled_passages(spark):
+    rng = random.Random(77)
+    passages = [[rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(rng.randrange(10, 40))] for _ in range(12)]
+    rows = []
+    for i in range(80):
+        text = []
+        for _ in range(rng.randrange(1, 6)):
+            x = rng.choice(passages)
+            a = rng.randrange(len(x))
+            text += x[a : a + rng.randrange(5, 40)] + [f"n{rng.randrange(30)}"] * rng.randrange(2)
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.start_word): (r.end_word, r.ref_doc_ids) for r in rlz.duplicate_spans(df, 6).collect()}
+    copies, want = {}, {}
+    spans = brute_parse(rows, 6)
+    for i, t in rows:
+        n = len(t.split())
+        if t in copies and n >= 6:
+            want[i, 0] = (n, [copies[t]])
+        else:
+            want |= {x: v for x, v in spans.items() if x[0] == i}
+        copies.setdefault(t, i)
+    assert {x: e for x, (e, _) in got.items()} == {x: e for x, (e, _) in want.items()}
+    same = np.mean([got[x] == want[x] for x in want])
+    assert same > 0.97, (same, [(x, got[x], want[x]) for x in want if got[x] != want[x]])
+
+
+def test_one_passage_in_most_rows(spark):
+    rng = random.Random(78)
+    hot = " ".join(f"h{i}" for i in range(30))
+    rows = [(i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(20))) + " " + (hot if rng.random() < 0.9 else "") + " " + " ".join(f"v{rng.randrange(10**6)}" for _ in range(9))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.start_word): (r.end_word, r.ref_doc_ids) for r in rlz.duplicate_spans(df, 12).collect()}
+    assert got == brute_parse(rows, 12) and len(got) > 150
 
 
 # 4, 5: rules and classifier
