@@ -1,33 +1,32 @@
 """MinHash near-dedup: LSH forest.
 
-Each document's MinHash signature over word shingles labels a leaf of TREES prefix
-trees; a tree is a sorted order of labels. Documents that share the first MIN_DEPTH
-hashes of a label form a region. A region of up to ALL_PAIRS documents compares all
-its pairs; a larger one goes a hash deeper first, by its own need, until it is small enough
-or the label ends. What the deeper regions leave apart is then compared across them: every
-document that has been reached from a group's first meets all that no group has yet, so
-that a region of any size links exactly what all its pairs would, and in a family of
+Each document's MinHash signature gives TREES labels of DEPTH hashes; a tree of the forest is the
+sorted order of the labels of one kind. Candidates of a document are its NEIGHBOURS nearest in each
+order on both sides, with which it has the longest common prefixes, of MIN_DEPTH hashes at least; so the
+depth at which it finds them is its own, great where a region of the tree is crowded and small
+where it is not. Where more documents than that share MIN_DEPTH hashes, those that the neighbours leave apart
+are then compared: every document that has been reached from a group's first meets all that no
+group has yet, so that a region of any size links exactly what all its pairs would, and in a family of
 similar documents the rest shrinks with each step.
 
 Equal signatures are collapsed before the forest, so thousands of exact copies cost one
-entry. Verified pairs become groups by alternating large-star and small-star rounds.
+entry and one link each. Verified pairs become groups by alternating large-star and small-star rounds.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable, key_columns, mix64, with_key, word_chunks
+from .common import durable, key_columns, mix64, release, unused, with_key, word_chunks
 
 SHINGLE = 3
 HASHES = 128
 TREES, DEPTH, MIN_DEPTH = 16, 8, 3
-ALL_PAIRS = 512
+NEIGHBOURS = 4
 THRESHOLD = 0.55
 _rng = np.random.default_rng(20240917)
 _A = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -69,9 +68,11 @@ def _sign(batches):
             if len(rows):
                 label = np.ascontiguousarray(sig[:, : TREES * DEPTH].astype(">u4"))
                 sketch = np.ascontiguousarray(sig.astype(np.uint8))
-                whole = mix64(np.bitwise_xor.reduce(mix64(sig.astype(np.uint64) + (np.arange(HASHES, dtype=np.uint64) << np.uint64(32))), axis=1)).view(np.int64)
+                wide = sig.astype(np.uint64) + (np.arange(HASHES, dtype=np.uint64) << np.uint64(32))
+                whole = [mix64(np.bitwise_xor.reduce(mix64(wide + np.uint64(x)), axis=1)).view(np.int64) for x in (0, 1 << 50)]
                 take = pa.array(rows + i)
-                yield pa.record_batch([d.take(take), t.take(take), pa.array(whole), pa.array([r.tobytes() for r in label], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary())], ["d", "t", "whole", "label", "sketch"])
+                yield pa.record_batch([d.take(take), t.take(take), pa.array(whole[0]), pa.array(whole[1]), pa.array([r.tobytes() for r in label], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary())], ["d", "t", "w1", "w2", "label", "sketch"])
+    release()
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -80,31 +81,44 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same / b.shape[-1] - 1 / 256) / (1 - 1 / 256)
 
 
-def region_edges(labels: np.ndarray, sketches: np.ndarray, depth: int, threshold: float) -> list[tuple[int, int]]:
-    """Links (first, other) that connect what verified pairs of a region connect.
+def neighbour_roots(lcp: np.ndarray, sketches: np.ndarray, threshold: float) -> np.ndarray:
+    """Of each row of a sorted order the first row of its group, as far as verified neighbours link them.
 
-    The labels, sorted, agree in their first `depth` hashes.
+    lcp: hashes that a row's label shares with the label before.
     """
-    n = len(labels)
-    if n < 2:
-        return []
-    if n <= ALL_PAIRS:
-        root = np.arange(n)
-        for i in range(n - 1):
-            hit = np.flatnonzero(agreement(sketches[i], sketches[i + 1 :]) >= threshold) + i + 1
-            if len(hit):
-                met = np.unique(np.append(root[hit], root[i]))
-                root[np.isin(root, met)] = met[0]
-        return [(int(root[i]), i) for i in range(n) if root[i] != i]
+    n = len(lcp)
     root = np.arange(n)
-    if depth < labels.shape[1]:  # sorted, so that the sub-regions are runs
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(labels[:, depth].astype(np.int64))) + 1, [n]))
-        for a, b in zip(cut[:-1], cut[1:]):
-            for i, j in region_edges(labels[a:b], sketches[a:b], depth + 1, threshold) if b - a < n else ():
-                root[a + j] = a + i
-    # Then across the sub-regions, exactly: every document that has been reached meets all that haven't.
+    deep = lcp >= MIN_DEPTH  # with the row before
+    inside, pairs = np.ones(n, bool), []
+    for s in range(1, min(NEIGHBOURS, n - 1) + 1):
+        inside = inside[: n - s] & deep[s:]  # rows i and i + s are of one region
+        at = np.flatnonzero(inside)
+        for a in range(0, len(at), 100_000):
+            i = at[a : a + 100_000]
+            hit = i[agreement(sketches[i], sketches[i + s]) >= threshold]
+            pairs.append(np.stack((hit, hit + s)))
+    if pairs:
+        u, v = np.concatenate(pairs, 1)
+        while True:  # each row takes the least root of those it is linked with, and then that root's root
+            before = root.copy()
+            low = np.minimum(root[u], root[v])
+            np.minimum.at(root, root[u], low)
+            np.minimum.at(root, root[v], low)
+            np.minimum.at(root, u, low)
+            np.minimum.at(root, v, low)
+            root = root[root]
+            if (root == before).all():
+                break
+    return root
+
+
+def close_region(root: np.ndarray, sketches: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links (first, other) that connect what verified pairs of a region connect. root: groups that are linked already."""
+    n = len(root)
     order = np.argsort(root, kind="stable")
     members = {int(root[m[0]]): m.tolist() for m in np.split(order, np.flatnonzero(np.diff(root[order])) + 1)}
+    if n <= NEIGHBOURS + 1 or len(members) == 1:  # all pairs have met
+        return [(r, j) for r, m in members.items() for j in m if j != r]
     out, left, there, new = [], np.arange(n), sketches, np.zeros(n, bool)
     while len(left):
         first = int(left[0])
@@ -128,45 +142,45 @@ def region_edges(labels: np.ndarray, sketches: np.ndarray, depth: int, threshold
     return out
 
 
+def order_edges(tree: np.ndarray, labels: np.ndarray, sketches: np.ndarray, threshold: float) -> np.ndarray:
+    """(2, links) between rows of whole regions, in order of (tree, label)."""
+    n = len(tree)
+    same = np.concatenate((np.zeros((1, labels.shape[1]), bool), (labels[1:] == labels[:-1]) & (tree[1:] == tree[:-1])[:, None]))
+    lcp = np.where(same.all(1), labels.shape[1], same.argmin(1))
+    root = neighbour_roots(lcp, sketches, threshold)
+    cut = np.concatenate((np.flatnonzero(lcp < MIN_DEPTH), [n]))
+    edges = [(a + i, a + j) for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()) if z - a > 1 for i, j in close_region(root[a:z] - a, sketches[a:z], threshold)]
+    return np.array(edges, np.int64).reshape(-1, 2).T
+
+
 def _forest(threshold: float):
     def run(batches):
-        kept: list[tuple] = []
-
-        def regions(last: bool):
-            """Whole regions among the rows held; the last one may go on and is held back."""
-            nonlocal kept
-            if not kept:
-                return None
-            part = [np.concatenate(x) for x in zip(*kept)]
-            tree, d, t, lab, sk = part
-            head = lab[:, :MIN_DEPTH]
-            new = np.concatenate(([True], (tree[1:] != tree[:-1]) | (head[1:] != head[:-1]).any(1)))
-            cut = np.concatenate((np.flatnonzero(new), [len(tree)]))
-            edges = []
-            for k in np.flatnonzero(np.diff(cut) > 1):
-                if not last and k == len(cut) - 2:
-                    break
-                a, b = cut[k], cut[k + 1]
-                edges += [(a + i, a + j) for i, j in region_edges(lab[a:b], sk[a:b], MIN_DEPTH, threshold)]
-            kept = [] if last else [tuple(x[cut[-2] :] for x in part)]
-            if edges:
-                i, j = np.array(edges).T
-                return pa.record_batch([pa.array(x) for x in (d[i], t[i], d[j], t[j])], ["ud", "ut", "vd", "vt"])
+        kept: list[tuple] = []  # rows of the region in hand, which may go on
+
+        def settle(rows: tuple):
+            tree, d, t, lab, sk = rows
+            i, j = order_edges(tree, lab, sk, threshold)
+            if len(i):
+                yield pa.record_batch([pa.array(x) for x in (d[i], t[i], d[j], t[j])], ["ud", "ut", "vd", "vt"])
 
         for batch in batches:
-            copies = pc.equal(batch.column(0), -1)
-            if pc.any(copies).as_py():
-                yield pa.record_batch(batch.filter(copies).columns[1:5], ["ud", "ut", "vd", "vt"])
-                batch = batch.filter(pc.invert(copies))
-            if batch.num_rows:
-                tree = batch.column(0).to_numpy(zero_copy_only=False)
-                lab = np.frombuffer(b"".join(batch.column(5).to_pylist()), ">u4").reshape(-1, DEPTH).astype(np.uint32)
-                sk = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, HASHES)
-                kept.append((tree, batch.column(1).to_numpy(), batch.column(2).to_numpy(), lab, sk))
-                if (found := regions(False)) is not None:
-                    yield found
-        if (found := regions(True)) is not None:
-            yield found
+            if not batch.num_rows:
+                continue
+            lab = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u4").reshape(-1, DEPTH).astype(np.uint32)
+            sk = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, HASHES)
+            rows = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), lab, sk)
+            other = (rows[0] != rows[0][-1]) | (lab[:, :MIN_DEPTH] != lab[-1, :MIN_DEPTH]).any(1)
+            cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if kept and (cut or kept[-1][0][-1] != rows[0][0] or (kept[-1][3][-1, :MIN_DEPTH] != lab[0, :MIN_DEPTH]).any()):
+                kept.append(tuple(x[:cut] for x in rows))
+                yield from settle(tuple(np.concatenate(x) for x in zip(*kept)))
+                kept = []
+            elif cut:
+                yield from settle(tuple(x[:cut] for x in rows))
+            kept.append(tuple(x[cut:] for x in rows))
+        if kept:
+            yield from settle(tuple(np.concatenate(x) for x in zip(*kept)))
+        release()
 
     return run
 
@@ -175,14 +189,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, root): each node of some edge (u, v) and the least node it is connected with.
 
     Large-star and small-star in turn until neither changes the edges: a logarithmic
-    number of rounds, each a shuffle of the edges alone.
+    number of rounds, each a shuffle of the edges alone. The least neighbour is found with partial
+    minima and joined, so that a node with many edges is no single task's.
     """
 
     def stars(e: DataFrame, large: bool) -> DataFrame:
         big, small = F.greatest("u", "v"), F.least("u", "v")
         both = e.select("u", "v").union(e.select("v", "u")).toDF("u", "v") if large else e.select(big.alias("u"), small.alias("v"))
-        m = both.withColumn("m", F.least(F.min("v").over(Window.partitionBy("u")), F.col("u")))
-        out = m.where("v > u").select("v", "m") if large else m.select("v", "m").union(m.select("u", "m"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        if large:
+            out = both.where("v > u").join(least, "u").select("v", "m")
+        else:
+            out = both.join(least, "u").select("v", "m").union(least.select("u", "m"))
         return out.toDF("u", "v").where("u != v").distinct()
 
     def mark(e: DataFrame):
@@ -202,19 +220,18 @@ def components(edges: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(u, root), both struct<d, t>: each document of a group but its first, and the first."""
     docs = docs.where("text is not null").select(*key_columns(), "text")
-    signed = docs.mapInArrow(_sign, "d bigint, t bigint, whole bigint, label binary, sketch binary")
-    # One shuffle collapses equal signatures: a copy goes on as a finished edge (tree -1), the first as TREES labels.
-    w = Window.partitionBy("whole").orderBy("d", "t")
-    seen = signed.withColumns({"k": F.row_number().over(w), "fd": F.first("d").over(w), "ft": F.first("t").over(w)})
-    tree = F.explode(F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(TREES - 1))).otherwise(F.array(F.lit(-1))))
-    rows = seen.select("d", "t", "fd", "ft", "label", "sketch", tree.alias("tree"))
-    label, sketch = F.expr(f"if(tree < 0, null, substring(label, tree * {4 * DEPTH} + 1, {4 * DEPTH}))"), F.expr("if(tree < 0, null, sketch)")
-    rows = rows.select("tree", "d", "t", "fd", "ft", label.alias("label"), sketch.alias("sketch"))
+    signed = durable(docs.mapInArrow(_sign, "d bigint, t bigint, w1 bigint, w2 bigint, label binary, sketch binary"))
+    firsts = durable(signed.groupBy("w1", "w2").agg(F.min(F.struct("d", "t")).alias("f"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("sketch").alias("sketch")))
+    same = firsts.where("n > 1").select("w1", "w2", "f")
+    copies = signed.select("w1", "w2", F.struct("d", "t").alias("u")).join(same, ["w1", "w2"]).where("u != f").select("u", "f").distinct()
+    rows = firsts.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "f.d", "f.t", "label", "sketch")
+    rows = rows.select("tree", "d", "t", F.expr(f"substring(label, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("label"), "sketch")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    head = F.when(F.col("tree") < 0, F.col("d").cast("string").cast("binary")).otherwise(F.substring("label", 1, 4 * MIN_DEPTH))
-    regions = rows.repartition(n, "tree", head).sortWithinPartitions("tree", "label", "d", "t")
+    regions = rows.repartition(n, "tree", F.substring("label", 1, 4 * MIN_DEPTH)).sortWithinPartitions("tree", "label", "d", "t")
     found = regions.mapInArrow(_forest(threshold), "ud bigint, ut bigint, vd bigint, vt bigint")
-    return components(found.select(F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"), F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v")))
+    groups = components(found.select(F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"), F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v")))
+    of_copies = copies.join(groups.withColumnRenamed("u", "f"), "f", "left").select("u", F.coalesce("root", "f").alias("root"))
+    return groups.unionByName(of_copies)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -233,12 +250,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each near-duplicate group, and all documents of no group.
 
-    Columns as they are. Rows equal in id and text are copies: one stays, unless the
-    text is null or wordless, which match nothing.
+    Columns as they are. Rows equal in id and text are copies: the one whose other columns have the
+    least hash stays, unless the text is null or wordless, which match nothing.
     """
     keyed, names = with_key(docs)
     gone = near_groups(docs, threshold).select("u.d", "u.t").toDF(*names)
-    left = keyed.join(gone, names, "left_anti")
     blank = F.coalesce(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")) == "", F.lit(True))
-    one = left.where(~blank).dropDuplicates(names)
+    left = keyed.join(gone, names, "left_anti")
+    others = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rank = unused(docs.columns, "__rank")
+    one = left.where(~blank).withColumn(rank, F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64(*others)))).where(F.col(rank) == 1).drop(rank)
     return one.unionByName(left.where(blank)).select(*[f"`{c}`" for c in docs.columns])

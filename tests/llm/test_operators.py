@@ -499,37 +499,79 @@ def test_near_duplicates_against_all_pairs(docs, rows):
     assert all(i in linked and root[i] in linked and root[i] < i for i in root)
 
 
-def test_large_regions_keep_their_pairs():
-    rng = np.random.default_rng(9)
-    base = rng.integers(0, 2**32, (3, lsh_forest.DEPTH), dtype=np.uint32)
-    labels = np.sort(np.repeat(base[:, 0], 600))[:, None].repeat(lsh_forest.DEPTH, 1)
-    sketches = np.repeat(rng.integers(0, 256, (3, lsh_forest.HASHES), dtype=np.uint8), 600, axis=0)
-    edges = lsh_forest.region_edges(labels, sketches, 0, 0.5)
-    root = list(range(1800))
-    for i, j in edges:
-        root[j] = root[i]
-    assert len(set(root)) == 3
+def forest_groups(labels, sketches, threshold):
+    """Groups that one order links, as the first row of each row's group."""
+    order = np.lexsort(labels.T[::-1])
+    links = lsh_forest.order_edges(np.zeros(len(labels), np.int32), labels[order], sketches[order], threshold)
+    root = np.arange(len(labels))
+    for i, j in links.T:
+        root[root == root[j]] = root[i]
+    back = np.empty_like(root)
+    back[order] = order[root]
+    return back
+
+
+def region_groups(labels, sketches, threshold):
+    """The same from all pairs of rows that share their first MIN_DEPTH hashes."""
+    root = np.arange(len(labels))
+    for i in range(len(labels) - 1):
+        same = (labels[i + 1 :, : lsh_forest.MIN_DEPTH] == labels[i, : lsh_forest.MIN_DEPTH]).all(1)
+        hit = np.flatnonzero(same & (lsh_forest.agreement(sketches[i], sketches[i + 1 :]) >= threshold)) + i + 1
+        if len(hit):
+            met = np.unique(np.append(root[hit], root[i]))
+            root[np.isin(root, met)] = met[0]
+    return root
+
+
+def partition(root):
+    return sorted(map(tuple, {r: np.flatnonzero(root == r).tolist() for r in np.unique(root)}.values()))
 
 
 def test_a_region_of_any_size_links_what_all_its_pairs_do():
     rng = np.random.default_rng(12)
-    for n, sim, share in ((5000, 0.55, 1), (5000, 0.6, 1), (1500, 0.5, 3)):
-        base = rng.integers(0, 2**32, (share, lsh_forest.HASHES), dtype=np.uint32)[rng.integers(0, share, n)]
+    for n, sim, families, heads in ((5000, 0.55, 1, 1), (5000, 0.6, 1, 1), (1500, 0.5, 3, 1), (900, 0.7, 40, 7), (700, 0.0, 1, 90)):
+        base = rng.integers(0, 2**32, (families, lsh_forest.HASHES), dtype=np.uint32)[rng.integers(0, families, n)]
         signed = np.where(rng.random((n, lsh_forest.HASHES)) < 2 * sim / (1 + sim), base, rng.integers(0, 2**32, (n, lsh_forest.HASHES), dtype=np.uint32))
         labels = signed[:, : lsh_forest.DEPTH].copy()
-        labels[:, : lsh_forest.MIN_DEPTH] = 7
-        order = np.lexsort(labels.T[::-1])
-        labels, sketches = labels[order], signed[order].astype(np.uint8)
-        want = np.arange(n)
-        for i in range(n - 1):
-            hit = np.flatnonzero((sketches[i + 1 :] == sketches[i]).mean(1) >= 0.55 * 255 / 256 + 1 / 256) + i + 1
-            if len(hit):
-                met = np.unique(np.append(want[hit], want[i]))
-                want[np.isin(want, met)] = met[0]
-        got = np.arange(n)
-        for i, j in lsh_forest.region_edges(labels, sketches, lsh_forest.MIN_DEPTH, 0.55):
-            got[j] = i
-        assert (got == want).all(), (n, sim, np.mean(got == want))
+        labels[:, : lsh_forest.MIN_DEPTH] = rng.integers(0, heads, n)[:, None]
+        sketches = signed.astype(np.uint8)
+        assert partition(forest_groups(labels, sketches, 0.55)) == partition(region_groups(labels, sketches, 0.55)), (n, sim)
+
+
+def test_neighbours_in_order_have_the_longest_common_prefixes():
+    rng = np.random.default_rng(13)
+    labels = rng.integers(0, 3, (400, lsh_forest.DEPTH)).astype(np.uint32)
+    labels = labels[np.lexsort(labels.T[::-1])]
+    lcp = lambda i, j: next((k for k in range(lsh_forest.DEPTH) if labels[i, k] != labels[j, k]), lsh_forest.DEPTH)
+    for i in range(400):
+        near = sorted((lcp(i, j) for j in range(max(0, i - 4), min(400, i + 5)) if j != i), reverse=True)[:4]
+        assert near == sorted((lcp(i, j) for j in range(400) if j != i), reverse=True)[:4]
+
+
+def test_batches_cut_regions_anywhere():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(14)
+    n = 600
+    signed = rng.integers(0, 2**32, (12, lsh_forest.HASHES), dtype=np.uint32)[rng.integers(0, 12, n)]
+    signed = np.where(rng.random(signed.shape) < 0.8, signed, rng.integers(0, 2**32, signed.shape, dtype=np.uint32))
+    labels = signed[:, : lsh_forest.DEPTH].copy()
+    labels[:, : lsh_forest.MIN_DEPTH] = rng.integers(0, 4, n)[:, None]
+    order = np.lexsort(labels.T[::-1])
+    labels, sketches = labels[order], signed[order].astype(np.uint8)
+    links = {}
+    for size in (1, 7, 100, 1000):
+        rows = [pa.record_batch([pa.array(np.zeros(len(x), np.int32)), pa.array(x), pa.array(x), pa.array([labels[i].astype(">u4").tobytes() for i in x], pa.binary()), pa.array([sketches[i].tobytes() for i in x], pa.binary())], ["tree", "d", "t", "label", "sketch"]) for a in range(0, n, size) for x in [np.arange(a, min(n, a + size))]]
+        found = [b.to_pydict() for b in lsh_forest._forest(0.55)(iter(rows))]
+        links[size] = sorted((u, v) for f in found for u, v in zip(f["ud"], f["vd"]))
+    assert links[1] == links[7] == links[100] == links[1000] and len(links[1]) > 100
+
+
+def test_thousands_of_copies_are_one_entry(spark):
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(words)) for i in range(500)] + [(500 + i, " ".join(words[:76] + [f"x{i}"])) for i in range(60)] + [(600, "something else altogether here")]
+    out = {r.doc_id: r.keep_doc_id for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: 0 for i in range(1, 560)}
 
 
 def test_components(spark):
