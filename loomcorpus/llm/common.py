@@ -127,7 +127,7 @@ class Words:
         return a, b
 
 
-def word_chunks(texts: pa.Array, chunk_bytes: int = 1 << 22):
+def word_chunks(texts: pa.Array, chunk_bytes: int = 1 << 20):
     """Yield (first row, number of rows, Words) over a string array; nulls are empty texts."""
     texts = texts.cast(pa.large_string()).fill_null("")
     n = len(texts)

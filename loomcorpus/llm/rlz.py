@@ -5,11 +5,11 @@ MIN_WORDS words or more are duplicate spans. As no shorter factor counts, the re
 indexed by windows of MIN_WORDS words, by 96 bits of hash, each at its first place in the corpus. That
 place is the window's name: two texts agree over a stretch if their windows have the same names there. So
 each document is rewritten as runs, (where, length, first place), of which there are few, and parsing needs
-no texts: from the first window that is not in a factor yet, each candidate is followed along its own runs, and
-the one that goes on longest gives the factor. Candidates are the documents that hold the first place of
-a window of the stretch, and those that were the first to pass from one run to another as the stretch does,
-once, or twice, four, eight, ... times in a row. The next factor may begin inside the one before: windows over a
-factor's boundary are windows like any other.
+no texts. A document has a run's windows from its first place on; and where a stretch passes from run to
+run, the first document that passed through the same runs has as much of it, and of the runs at its two ends
+as they go on together. Passages through 1 to 8, 10, 12, 14, 16, 20, ... runs (STEPS) are looked up so. From
+the first window that is not in a factor yet, the match that goes on longest gives the factor. The next
+factor may begin inside the one before: windows over a factor's boundary are windows like any other.
 
 The index is cut into blocks by hash, and every document meets every block, each with those of its
 windows that hash there. Blocks are sorted outside memory, so that a window that most documents have is
@@ -32,6 +32,8 @@ from pyspark.sql.window import Window
 from .common import NO_ID, Words, _powers, durable, key_columns, mix64, release, word_chunks
 
 MIN_WORDS, ANCHOR = 50, 20
+#: Runs that looked-up passages go through: four numbers for each doubling.
+STEPS = (*range(1, 8), *(q << j for j in range(1, 20) for q in range(4, 8)))
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
@@ -94,7 +96,7 @@ def _windows(min_words: int, k: int):
     def run(batches):
         for b in batches:
             d, t = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for i, n, words in word_chunks(b.column(2), 1 << 21):
+            for i, n, words in word_chunks(b.column(2)):
                 h = words.hashes()
                 low = anchors(words, h, min_words, k)
                 at = _runs(low)
@@ -163,100 +165,81 @@ def _compress(batches):
 
 
 def _passages(batches):
-    """(d, t, lo, hi, p, key) where a document passes from one run to the next inside a stretch, at its last window p of the first.
+    """(key, d, t, p, left, off, last, lo, hi) for each passage of a document through some of its runs.
 
-    A key for each 1, 2, 4, ... such steps in a row. Keys only find candidates, which are then followed run by run.
+    p: last window of the run that it comes from; left: windows of that run; off: from p to the run it ends in;
+    last: windows of that; lo, hi: the stretch of windows at places of other documents that it lies in, or -1, and then
+    the passage is only one that others may share. A document's own first places are runs too. Keys are
+    hashes of 64 bits of all runs passed; a passage is the same if its runs are.
     """
-    names = ["d", "t", "lo", "hi", "p", "key"]
+    names = ["key", "d", "t", "p", "left", "off", "last", "lo", "hi"]
     for b in batches:
         out = []
         for d, t, own in zip(*[b.column(k).to_pylist() for k in range(3)]):
-            own = sorted((r["p"], r["n"], r["rd"], r["rt"], r["rp"], r["lo"], r["hi"]) for r in own)
-            if len(own) < 2:
-                continue
-            x = np.array(own, np.int64).T
-            p, n, rd, rt, rp, lo, hi = x
-            foreign = (rd != d) | (rt != t)
-            at = np.flatnonzero((lo[1:] == lo[:-1]) & foreign[1:] & foreign[:-1])
-            if not len(at):
+            runs, at = [], 0
+            for r in sorted((r["p"], r["n"], r["rd"], r["rt"], r["rp"], r["lo"] if (r["rd"], r["rt"]) != (d, t) else -1, r["hi"]) for r in own):
+                if r[0] > at:
+                    runs.append((at, r[0] - at, d, t, at, -1, -1))
+                runs.append(r)
+                at = r[0] + r[1]
+            runs.append((at, 1 << 40, d, t, at, -1, -1))  # what comes after, if anything does
+            p, n, rd, rt, rp, lo, hi = np.array(runs, np.int64).T
+            if len(p) < 2:
                 continue
-            one = lambda i, q: mix64(mix64(mix64(rd[i].view(np.uint64)) + rt[i].view(np.uint64)) + q.view(np.uint64))
-            key = mix64(one(at, rp[at] + n[at] - 1) + np.uint64(3) * one(at + 1, rp[at + 1]))
-            # A longer step must also be as long in words as the one it is compared with.
-            step, k = 1, at
-            while len(k):
-                out.append(np.stack((np.full(len(k), d), np.full(len(k), t), lo[k], hi[k], p[k] + n[k] - 1, key.view(np.int64))))
-                j = np.arange(len(k) - step)
-                j = j[k[j + step] == k[j] + step] if len(j) else j
-                far = (p[k[j + step]] + n[k[j + step]] - p[k[j]] - n[k[j]]).astype(np.uint64)
-                key = mix64(key[j] + mix64(key[j + step] + far))
-                k, step = k[j], step * 2
-                if len(k) <= step:
+            place = lambda i, q: mix64(mix64(mix64(rd[i].view(np.uint64)) + rt[i].view(np.uint64)) + q.view(np.uint64))
+            i = np.arange(len(p) - 1)
+            at, end = np.concatenate((p[1:], [0]))[:-1], p + n - 1  # a passage is from end[i] to at[i]
+            powers = [mix64(place(i, rp[i] + n[i] - 1) + np.uint64(3) * place(i + 1, rp[i + 1]))]
+            for m in STEPS:
+                if m > len(i):
                     break
+                j = m.bit_length() - 1
+                while len(powers) <= j:
+                    half, h = powers[-1], 1 << (len(powers) - 1)
+                    powers.append(mix64(half[:-h] + mix64(half[h:] + (end[h : h + len(half) - h] - end[: len(half) - h]).astype(np.uint64))))
+                k = i[: len(i) - m + 1]
+                span = (p[k + m] - end[k]).astype(np.uint64)
+                key = mix64(powers[j][k] + mix64(powers[j][k + m - (1 << j)] + span) + np.uint64(m))
+                inside = (lo[k] >= 0) & (lo[k] == lo[k + m])
+                out.append(np.stack((key.view(np.int64), np.full(len(k), d), np.full(len(k), t), end[k], n[k], p[k + m] - end[k], n[k + m], np.where(inside, lo[k], -1), np.where(inside, hi[k], -1))))
         if out:
             x = np.concatenate(out, 1)
-            yield pa.record_batch([pa.array(c) for c in x], names)
-
-
-def matches(own: list[tuple], delta: int, source: tuple, runs: list[tuple]) -> list[tuple[int, int]]:
-    """Stretches (first, end) of windows of a document that `source` has `delta` words further on.
+            for a in range(0, x.shape[1], 50_000):
+                yield pa.record_batch([pa.array(c) for c in x[:, a : a + 50_000]], names)
 
-    own, runs: (p, n, place, rp) of the document and of the source, in order; place: (d, t) of the first place.
-    """
-    out: list[tuple[int, int]] = []
-
-    def add(a, z):
-        if out and out[-1][1] == a:
-            out[-1] = (out[-1][0], z)
-        else:
-            out.append((a, z))
 
-    k = 0
-    for p, n, place, rp in own:
-        if place == source:
-            if rp - p == delta:
-                add(p, p + n)
-            continue
-        while k < len(runs) and runs[k][0] + runs[k][1] <= p + delta:
-            k += 1
-        j = k
-        while j < len(runs) and runs[j][0] < p + n + delta:
-            q, m, there, rq = runs[j]
-            if there == place and rq - q + delta == rp - p:
-                add(max(p, q - delta), min(p + n, q + m - delta))
-            j += 1
-    return out
-
-
-def parse(own: list[tuple], candidates: list[tuple]) -> list[tuple[int, int, int]]:
+def parse(found: list[tuple]) -> list[tuple[int, int, int]]:
     """Greedy factors (first window, end window, id of the source) of one document.
 
-    own: its runs (p, n, place, rp, lo, hi) at places of other documents, in order; candidates: (place, delta, lo, hi,
-    runs of the source around) for each source, shift and stretch. Of several longest matches that of the
-    first document counts.
+    found: its matches (lo, hi, delta, place, a, z): windows a to z of the stretch from lo to hi are delta windows
+    further on in the document `place`. Of several longest matches that of the first document counts.
     """
     factors: list[tuple[int, int, int]] = []
-    by: dict[int, list] = {}
-    for c in candidates:
-        by.setdefault(c[2], []).append(c)
-    at = 0
-    while at < len(own):
-        lo, hi = own[at][4], own[at][5]
-        end = at
-        while end < len(own) and own[end][4] == lo:
-            end += 1
-        region = [r[:4] for r in own[at:end]]
-        found = sorted((a, z, place, delta) for place, delta, _, _, runs in by[lo] for a, z in matches(region, delta, place, runs))
+    stretches: dict[tuple[int, int], dict] = {}
+    for lo, hi, delta, place, a, z in found:
+        stretches.setdefault((lo, hi), {}).setdefault((place, delta), []).append((a, z))
+    for (lo, hi), by in sorted(stretches.items()):
+        whole = []
+        for (place, delta), parts in by.items():  # what touches or overlaps in one document is one match
+            parts.sort()
+            a, z = parts[0]
+            for x, y in parts[1:]:
+                if x <= z:
+                    z = max(z, y)
+                else:
+                    whole.append((a, z, place, delta))
+                    a, z = x, y
+            whole.append((a, z, place, delta))
+        whole.sort()
         p, k, best = lo, 0, None
         while p < hi:
-            while k < len(found) and found[k][0] <= p:
-                f = found[k]
+            while k < len(whole) and whole[k][0] <= p:
+                f = whole[k]
                 if best is None or (-f[1], f[2], f[3]) < (-best[1], best[2], best[3]):
                     best = f
                 k += 1
             factors.append((p, best[1], best[2][0]))
             p = best[1]
-        at = end
     return factors
 
 
@@ -274,20 +257,40 @@ def spans_of(factors: list[tuple[int, int, int]], min_words: int) -> list[tuple[
 
 
 def _parse(min_words: int):
+    """Spans of rows (d, t, lo, hi, delta, rd, rt, a, z) in order of d, t; a document at a time."""
+
     def run(batches):
+        held, key, rows = [], None, []
         for b in batches:
-            rows = []
-            for d, t, own, candidates in zip(*[b.column(k).to_pylist() for k in range(4)]):
-                mine = sorted((r["p"], r["n"], (r["rd"], r["rt"]), r["rp"], r["lo"], r["hi"]) for r in own if (r["rd"], r["rt"]) != (d, t))
-                others = [((c["rd"], c["rt"]), c["delta"], c["lo"], c["hi"], sorted((r["p"], r["n"], (r["rd"], r["rt"]), r["rp"]) for r in c["runs"] or [])) for c in candidates]
-                rows += [(d, *s) for s in spans_of(parse(mine, others), min_words)]
-            for a in range(0, len(rows), 5000):
-                c = list(zip(*rows[a : a + 5000]))
-                yield pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.list_(pa.int64()))], ["d", "start_word", "end_word", "refs"])
+            d, t = b.column(0).to_numpy(), b.column(1).to_numpy()
+            new = np.flatnonzero((d[1:] != d[:-1]) | (t[1:] != t[:-1])) + 1
+            cut = [0, *new.tolist(), len(d)]
+            rest = [b.column(k).to_pylist() for k in range(2, 9)]
+            for s, e in zip(cut[:-1], cut[1:]):
+                if s == e:
+                    continue
+                if key != (d[s], t[s]):
+                    if held:
+                        rows += [(int(key[0]), *x) for x in spans_of(parse(held), min_words)]
+                    held, key = [], (d[s], t[s])
+                held += [(lo, hi, delta, (rd, rt), a, z) for lo, hi, delta, rd, rt, a, z in zip(*[c[s:e] for c in rest])]
+            if len(rows) >= 5000:
+                yield _span_rows(rows)
+                rows = []
+        if held:
+            rows += [(int(key[0]), *x) for x in spans_of(parse(held), min_words)]
+        if rows:
+            yield _span_rows(rows)
+        release()
 
     return run
 
 
+def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
+    c = list(zip(*rows))
+    return pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.list_(pa.int64()))], ["d", "start_word", "end_word", "refs"])
+
+
 def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start_word, end_word, ref_doc_ids): spans of words that earlier documents have.
 
@@ -298,8 +301,8 @@ def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one document. A null id comes before all others and is null in the result. An empty
     table gives no rows; extra columns are ignored.
 
-    Factors are the longest among the candidates; a document that has no first place in the stretch and
-    wasn't the first to take any of its steps is none, even where it has more of them in a row than each of those.
+    Factors are the longest matches among those that are looked up. A document that passes through more runs
+    in a row than any other, but through each number of STEPS of them as a later one, is missed; the span is the same.
     """
     k = max(1, min(ANCHOR, min_words // 2))
     texts = docs.where("text is not null").select(*key_columns(), "text")
@@ -317,16 +320,13 @@ def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ordered = named.repartition(n, "d", "t").sortWithinPartitions("d", "t", "p")
     runs = ordered.mapInArrow(_compress, ", ".join(f"{c} bigint" for c in ("d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi")))
     own = durable(runs.groupBy("d", "t").agg(F.collect_list(F.struct("p", "n", "rd", "rt", "rp", "lo", "hi")).alias("own")))
-    sources = own.select(F.col("d").alias("rd"), F.col("t").alias("rt"), F.transform("own", lambda r: F.struct(*[r[c].alias(c) for c in ("p", "n", "rd", "rt", "rp")])).alias("runs"))
     run = F.col("run")
-    holders = own.select("d", "t", F.explode("own").alias("run")).select("d", "t", run.rd.alias("rd"), run.rt.alias("rt"), (run.rp - run.p).alias("delta"), run.lo.alias("lo"), run.hi.alias("hi"))
-    steps = durable(own.mapInArrow(_passages, ", ".join(f"{c} bigint" for c in ("d", "t", "lo", "hi", "p", "key"))))
-    pioneers = steps.groupBy("key").agg(F.min(F.struct("d", "t", "p")).alias("f"), F.count("*").alias("c")).where("c > 1").select("key", "f")
-    passed = steps.join(pioneers, "key").select("d", "t", F.col("f.d").alias("rd"), F.col("f.t").alias("rt"), (F.col("f.p") - F.col("p")).alias("delta"), "lo", "hi")
-    pairs = holders.unionByName(passed).where("rd < d or rd = d and rt < t").distinct()
-    near = F.filter("runs", lambda r: (r["p"] < F.col("hi") + F.col("delta")) & (r["p"] + r["n"] > F.col("lo") + F.col("delta")))
-    followed = pairs.join(sources, ["rd", "rt"], "left").select("d", "t", F.struct("rd", "rt", "delta", "lo", "hi", near.alias("runs")).alias("c"))
-    both = own.join(followed.groupBy("d", "t").agg(F.collect_list("c").alias("candidates")), ["d", "t"])
-    spans = both.select("d", "t", "own", "candidates").mapInArrow(_parse(min_words), "d bigint, start_word int, end_word int, refs array<bigint>")
+    at_place = own.select("d", "t", F.explode("own").alias("run")).select("d", "t", run.lo.alias("lo"), run.hi.alias("hi"), (run.rp - run.p).alias("delta"), run.rd.alias("rd"), run.rt.alias("rt"), run.p.alias("a"), (run.p + run.n).alias("z"))
+    passages = durable(own.mapInArrow(_passages, ", ".join(f"{c} bigint" for c in ("key", "d", "t", "p", "left", "off", "last", "lo", "hi"))))
+    pioneers = passages.groupBy("key").agg(F.min(F.struct("d", "t", "p", "left", "last")).alias("f"), F.count("*").alias("c")).where("c > 1").select("key", "f")
+    f, p = F.col("f"), F.col("p")
+    passed = passages.where("lo >= 0").join(pioneers, "key").select("d", "t", "lo", "hi", (f.p - p).alias("delta"), f.d.alias("rd"), f.t.alias("rt"), (p + 1 - F.least("left", f.left)).alias("a"), (p + F.col("off") + F.least("last", f["last"])).alias("z"))
+    found = at_place.unionByName(passed).where("rd < d or rd = d and rt < t").repartition(n, "d", "t").sortWithinPartitions("d", "t")
+    spans = found.mapInArrow(_parse(min_words), "d bigint, start_word int, end_word int, refs array<bigint>")
     null = lambda c: F.when(c != NO_ID, c)
     return spans.union(copies).select(null(F.col("d")).alias("doc_id"), "start_word", "end_word", F.transform("refs", null).alias("ref_doc_ids"))
