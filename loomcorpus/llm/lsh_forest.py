@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -164,6 +165,11 @@ def _forest(threshold: float):
                 yield pa.record_batch([pa.array(x) for x in (d[i], t[i], d[j], t[j])], ["ud", "ut", "vd", "vt"])
 
         for batch in batches:
+            copies = pc.less(batch.column(0), 0)
+            if pc.any(copies).as_py():
+                done = batch.filter(copies)
+                yield pa.record_batch([done.column(k) for k in (5, 6, 1, 2)], ["ud", "ut", "vd", "vt"])
+                batch = batch.filter(pc.invert(copies))
             if not batch.num_rows:
                 continue
             lab = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u4").reshape(-1, DEPTH).astype(np.uint32)
@@ -220,16 +226,25 @@ def components(edges: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(u, root), both struct<d, t>: each document of a group but its first, and the first."""
     docs = docs.where("text is not null").select(*key_columns(), "text")
-    signed = durable(docs.mapInArrow(_sign, "d bigint, t bigint, w1 bigint, w2 bigint, label binary, sketch binary"))
-    firsts = durable(signed.groupBy("w1", "w2").agg(F.min(F.struct("d", "t")).alias("f"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("sketch").alias("sketch")))
-    same = firsts.where("n > 1").select("w1", "w2", "f")
-    copies = signed.select("w1", "w2", F.struct("d", "t").alias("u")).join(same, ["w1", "w2"]).where("u != f").select("u", "f").distinct()
-    rows = firsts.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "f.d", "f.t", "label", "sketch")
-    rows = rows.select("tree", "d", "t", F.expr(f"substring(label, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("label"), "sketch")
+    signed = docs.mapInArrow(_sign, "d bigint, t bigint, w1 bigint, w2 bigint, label binary, sketch binary")
+    one = signed.groupBy("t").agg(F.min("d").alias("d"), *[F.first(c).alias(c) for c in ("w1", "w2", "label", "sketch")])
+    # Other texts of equal signature go on as a finished link (tree -1), the first as TREES labels.
+    w = Window.partitionBy("w1", "w2").orderBy("d", "t")
+    seen = one.withColumns({"k": F.row_number().over(w), "fd": F.first("d").over(w), "ft": F.first("t").over(w)})
+    tree = F.explode(F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(TREES - 1))).otherwise(F.array(F.lit(-1))))
+    rows = seen.select(tree.alias("tree"), "d", "t", "fd", "ft", "label", "sketch")
+    of_tree = lambda c: F.expr(f"if(tree < 0, null, {c})")
+    rows = rows.select("tree", "d", "t", of_tree(f"substring(label, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("label"), of_tree("sketch").alias("sketch"), F.expr("if(tree < 0, fd, null)").alias("fd"), F.expr("if(tree < 0, ft, null)").alias("ft"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    regions = rows.repartition(n, "tree", F.substring("label", 1, 4 * MIN_DEPTH)).sortWithinPartitions("tree", "label", "d", "t")
+    head = F.when(F.col("tree") < 0, F.col("d").cast("string").cast("binary")).otherwise(F.substring("label", 1, 4 * MIN_DEPTH))
+    regions = rows.repartition(n, "tree", head).sortWithinPartitions("tree", "label", "d", "t")
     found = regions.mapInArrow(_forest(threshold), "ud bigint, ut bigint, vd bigint, vt bigint")
     groups = components(found.select(F.struct(F.col("ud").alias("d"), F.col("ut").alias("t")).alias("u"), F.struct(F.col("vd").alias("d"), F.col("vt").alias("t")).alias("v")))
+    # Copies of a text follow its first document; wordless texts are no copies.
+    worded = F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")) != ""
+    keys = docs.where(worded).select("d", "t").distinct()
+    firsts = keys.groupBy("t").agg(F.min("d").alias("d"), F.count("*").alias("n")).where("n > 1").select("t", F.struct("d", "t").alias("f"))
+    copies = keys.join(firsts, "t").select(F.struct("d", "t").alias("u"), "f").where("u != f")
     of_copies = copies.join(groups.withColumnRenamed("u", "f"), "f", "left").select("u", F.coalesce("root", "f").alias("root"))
     return groups.unionByName(of_copies)
 
