@@ -119,12 +119,13 @@ def _windows(min_words: int, k: int):
 
 
 def _compress(batches):
-    """Runs (d, t, p, n, rd, rt, rp, lo, hi) of rows (d, t, p, rd, rt, rp) in order of d, t, p.
+    """Runs (d, t, p, n, rd, rt, rp, lo, hi, q) of rows (d, t, p, rd, rt, rp) in order of d, t, p.
 
-    n windows from p on have their first places from rp on in document (rd, rt); lo, hi: the
-    stretch of such windows, at places of other documents, that the run is part of.
+    n windows from p on have their first places from rp on in document (rd, rt), and from rp on again after each q of
+    them if q isn't 0, as where a text repeats q words; lo, hi: the stretch of such windows, at places of other
+    documents, that the run is part of.
     """
-    names = ["d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi"]
+    names = ["d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi", "q"]
     held: list[np.ndarray] = []  # runs of the document in hand
 
     def flush(runs: np.ndarray):
@@ -133,7 +134,15 @@ def _compress(batches):
         new = np.concatenate(([True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (p[1:] != p[:-1] + n[:-1]) | (foreign[1:] != foreign[:-1])))
         of, start = np.cumsum(new) - 1, np.flatnonzero(new)
         last = np.append(start[1:], len(p)) - 1
-        return pa.record_batch([pa.array(x) for x in (*runs, p[start][of], (p + n)[last][of])], names)
+        lo, hi = p[start][of], (p + n)[last][of]
+        again = np.concatenate(([False], ~new[1:] & (runs[4:, 1:] == runs[4:, :-1]).all(0)))
+        fewer = again & np.concatenate(([False], n[1:] < n[:-1]))  # the last of a cycle may be cut short
+        again &= np.concatenate(([False], n[1:] <= n[:-1]))
+        again[1:] &= ~fewer[:-1]
+        at = np.flatnonzero(~again)
+        size = np.diff(np.append(at, len(p)))
+        whole = np.add.reduceat(n, at) if len(at) else n
+        return pa.record_batch([pa.array(x) for x in (d[at], t[at], p[at], whole, *runs[4:, at], lo[at], hi[at], np.where(size > 1, n[at], 0))], names)
 
     for b in batches:
         x = np.stack([b.column(k).to_numpy().astype(np.int64) for k in range(6)])
@@ -165,31 +174,38 @@ def _compress(batches):
 
 
 def _passages(batches):
-    """(key, d, t, p, left, off, last, lo, hi) for each passage of a document through some of its runs.
+    """(key, d, t, p, left, off, last, lo, hi, cycle) for each passage of a document through some of its runs.
 
     p: last window of the run that it comes from; left: windows of that run; off: from p to the run it ends in;
     last: windows of that; lo, hi: the stretch of windows at places of other documents that it lies in, or -1, and then
     the passage is only one that others may share. A document's own first places are runs too. Keys are
-    hashes of 64 bits of all runs passed; a passage is the same if its runs are.
+    hashes of 64 bits of all runs passed; a passage is the same if its runs are. A run that goes in a cycle has rows
+    of its own too, for lengths of STEPS that it reaches; cycle is its length, and 0 elsewhere.
     """
-    names = ["key", "d", "t", "p", "left", "off", "last", "lo", "hi"]
+    names = ["key", "d", "t", "p", "left", "off", "last", "lo", "hi", "cycle"]
     for b in batches:
         out = []
         for d, t, own in zip(*[b.column(k).to_pylist() for k in range(3)]):
             runs, at = [], 0
-            for r in sorted((r["p"], r["n"], r["rd"], r["rt"], r["rp"], r["lo"] if (r["rd"], r["rt"]) != (d, t) else -1, r["hi"]) for r in own):
+            for r in sorted((r["p"], r["n"], r["rd"], r["rt"], r["rp"], r["lo"] if (r["rd"], r["rt"]) != (d, t) else -1, r["hi"], r["q"]) for r in own):
                 if r[0] > at:
-                    runs.append((at, r[0] - at, d, t, at, -1, -1))
+                    runs.append((at, r[0] - at, d, t, at, -1, -1, 0))
                 runs.append(r)
                 at = r[0] + r[1]
-            runs.append((at, 1 << 40, d, t, at, -1, -1))  # what comes after, if anything does
-            p, n, rd, rt, rp, lo, hi = np.array(runs, np.int64).T
+            runs.append((at, 1 << 40, d, t, at, -1, -1, 0))  # what comes after, if anything does
+            p, n, rd, rt, rp, lo, hi, q = np.array(runs, np.int64).T
+            for c in np.flatnonzero(q):
+                more = q[c] if (rd[c], rt[c], rp[c] + q[c]) == (d, t, p[c]) else 0  # its first round is the first place itself
+                k = np.array([m for m in STEPS if m <= n[c] + more], np.int64)
+                key = mix64(mix64(mix64(mix64(rd[c : c + 1].view(np.uint64)) + rt[c : c + 1].view(np.uint64)) + rp[c : c + 1].view(np.uint64)) + q[c : c + 1].view(np.uint64) + np.uint64(1 << 40) * k.astype(np.uint64))
+                full = lambda v: np.full(len(k), v)
+                out.append(np.stack((key.view(np.int64), full(d), full(t), full(p[c] - 1 - more), full(0), full(1), full(n[c] + more), full(lo[c]), full(hi[c] if lo[c] >= 0 else -1), full(n[c] + more))))
             if len(p) < 2:
                 continue
             place = lambda i, q: mix64(mix64(mix64(rd[i].view(np.uint64)) + rt[i].view(np.uint64)) + q.view(np.uint64))
             i = np.arange(len(p) - 1)
             at, end = np.concatenate((p[1:], [0]))[:-1], p + n - 1  # a passage is from end[i] to at[i]
-            powers = [mix64(place(i, rp[i] + n[i] - 1) + np.uint64(3) * place(i + 1, rp[i + 1]))]
+            powers = [mix64(place(i, rp[i] + np.where(q[i] > 0, (n[i] - 1) % np.maximum(q[i], 1), n[i] - 1)) + np.uint64(3) * place(i + 1, rp[i + 1]))]
             for m in STEPS:
                 if m > len(i):
                     break
@@ -201,7 +217,7 @@ def _passages(batches):
                 span = (p[k + m] - end[k]).astype(np.uint64)
                 key = mix64(powers[j][k] + mix64(powers[j][k + m - (1 << j)] + span) + np.uint64(m))
                 inside = (lo[k] >= 0) & (lo[k] == lo[k + m])
-                out.append(np.stack((key.view(np.int64), np.full(len(k), d), np.full(len(k), t), end[k], n[k], p[k + m] - end[k], n[k + m], np.where(inside, lo[k], -1), np.where(inside, hi[k], -1))))
+                out.append(np.stack((key.view(np.int64), np.full(len(k), d), np.full(len(k), t), end[k], n[k], p[k + m] - end[k], n[k + m], np.where(inside, lo[k], -1), np.where(inside, hi[k], -1), np.zeros(len(k), np.int64))))
         if out:
             x = np.concatenate(out, 1)
             for a in range(0, x.shape[1], 50_000):
@@ -211,13 +227,19 @@ def _passages(batches):
 def parse(found: list[tuple]) -> list[tuple[int, int, int]]:
     """Greedy factors (first window, end window, id of the source) of one document.
 
-    found: its matches (lo, hi, delta, place, a, z): windows a to z of the stretch from lo to hi are delta windows
-    further on in the document `place`. Of several longest matches that of the first document counts.
+    found: its matches (lo, hi, delta, place, a, z, once): windows a to z of the stretch from lo to hi are delta windows
+    further on in the document `place`, or, if once is less than z, as far as that, and in cycles the rest.
+    Of several longest matches that of the first document counts. Factors of a cycle in one source are given as one.
     """
     factors: list[tuple[int, int, int]] = []
     stretches: dict[tuple[int, int], dict] = {}
-    for lo, hi, delta, place, a, z in found:
-        stretches.setdefault((lo, hi), {}).setdefault((place, delta), []).append((a, z))
+    cycles: dict[tuple[int, int], list] = {}
+    for lo, hi, delta, place, a, z, once in found:
+        if once < z:
+            cycles.setdefault((lo, hi), []).append((a, z, place, once - a))
+            stretches.setdefault((lo, hi), {})
+        else:
+            stretches.setdefault((lo, hi), {}).setdefault((place, delta), []).append((a, z))
     for (lo, hi), by in sorted(stretches.items()):
         whole = []
         for (place, delta), parts in by.items():  # what touches or overlaps in one document is one match
@@ -231,15 +253,24 @@ def parse(found: list[tuple]) -> list[tuple[int, int, int]]:
                     a, z = x, y
             whole.append((a, z, place, delta))
         whole.sort()
-        p, k, best = lo, 0, None
+        round_ = sorted(cycles.get((lo, hi), []))
+        p, k, c, best, going = lo, 0, 0, None, []
         while p < hi:
             while k < len(whole) and whole[k][0] <= p:
                 f = whole[k]
                 if best is None or (-f[1], f[2], f[3]) < (-best[1], best[2], best[3]):
                     best = f
                 k += 1
-            factors.append((p, best[1], best[2][0]))
-            p = best[1]
+            while c < len(round_) and round_[c][0] <= p:
+                going.append(round_[c])
+                c += 1
+            going = [g for g in going if g[1] > p]
+            options = [(-(p + g[3]), g[2], g[1]) for g in going]
+            if best is not None and best[1] > p:
+                options.append((-best[1], best[2], best[1]))
+            _, place, end = min(options)
+            factors.append((p, end, place[0]))
+            p = end
     return factors
 
 
@@ -257,7 +288,7 @@ def spans_of(factors: list[tuple[int, int, int]], min_words: int) -> list[tuple[
 
 
 def _parse(min_words: int):
-    """Spans of rows (d, t, lo, hi, delta, rd, rt, a, z) in order of d, t; a document at a time."""
+    """Spans of rows (d, t, lo, hi, delta, rd, rt, a, z, once) in order of d, t; a document at a time."""
 
     def run(batches):
         held, key, rows = [], None, []
@@ -265,7 +296,7 @@ def _parse(min_words: int):
             d, t = b.column(0).to_numpy(), b.column(1).to_numpy()
             new = np.flatnonzero((d[1:] != d[:-1]) | (t[1:] != t[:-1])) + 1
             cut = [0, *new.tolist(), len(d)]
-            rest = [b.column(k).to_pylist() for k in range(2, 9)]
+            rest = [b.column(k).to_pylist() for k in range(2, 10)]
             for s, e in zip(cut[:-1], cut[1:]):
                 if s == e:
                     continue
@@ -273,7 +304,7 @@ def _parse(min_words: int):
                     if held:
                         rows += [(int(key[0]), *x) for x in spans_of(parse(held), min_words)]
                     held, key = [], (d[s], t[s])
-                held += [(lo, hi, delta, (rd, rt), a, z) for lo, hi, delta, rd, rt, a, z in zip(*[c[s:e] for c in rest])]
+                held += [(lo, hi, delta, (rd, rt), a, z, once) for lo, hi, delta, rd, rt, a, z, once in zip(*[c[s:e] for c in rest])]
             if len(rows) >= 5000:
                 yield _span_rows(rows)
                 rows = []
@@ -318,14 +349,15 @@ def duplicate_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     named = windows.withColumn("f", place).where(F.struct("d", "t", "p") != F.col("f")).select("d", "t", "p", F.col("f.d").alias("rd"), F.col("f.t").alias("rt"), F.col("f.p").alias("rp"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = named.repartition(n, "d", "t").sortWithinPartitions("d", "t", "p")
-    runs = ordered.mapInArrow(_compress, ", ".join(f"{c} bigint" for c in ("d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi")))
-    own = durable(runs.groupBy("d", "t").agg(F.collect_list(F.struct("p", "n", "rd", "rt", "rp", "lo", "hi")).alias("own")))
+    runs = ordered.mapInArrow(_compress, ", ".join(f"{c} bigint" for c in ("d", "t", "p", "n", "rd", "rt", "rp", "lo", "hi", "q")))
+    own = durable(runs.groupBy("d", "t").agg(F.collect_list(F.struct("p", "n", "rd", "rt", "rp", "lo", "hi", "q")).alias("own")))
     run = F.col("run")
-    at_place = own.select("d", "t", F.explode("own").alias("run")).select("d", "t", run.lo.alias("lo"), run.hi.alias("hi"), (run.rp - run.p).alias("delta"), run.rd.alias("rd"), run.rt.alias("rt"), run.p.alias("a"), (run.p + run.n).alias("z"))
-    passages = durable(own.mapInArrow(_passages, ", ".join(f"{c} bigint" for c in ("key", "d", "t", "p", "left", "off", "last", "lo", "hi"))))
+    at_place = own.select("d", "t", F.explode("own").alias("run")).select("d", "t", run.lo.alias("lo"), run.hi.alias("hi"), (run.rp - run.p).alias("delta"), run.rd.alias("rd"), run.rt.alias("rt"), run.p.alias("a"), (run.p + run.n).alias("z"), (run.p + F.when(run.q > 0, run.q).otherwise(run.n)).alias("once"))
+    passages = durable(own.mapInArrow(_passages, ", ".join(f"{c} bigint" for c in ("key", "d", "t", "p", "left", "off", "last", "lo", "hi", "cycle"))))
     pioneers = passages.groupBy("key").agg(F.min(F.struct("d", "t", "p", "left", "last")).alias("f"), F.count("*").alias("c")).where("c > 1").select("key", "f")
     f, p = F.col("f"), F.col("p")
-    passed = passages.where("lo >= 0").join(pioneers, "key").select("d", "t", "lo", "hi", (f.p - p).alias("delta"), f.d.alias("rd"), f.t.alias("rt"), (p + 1 - F.least("left", f.left)).alias("a"), (p + F.col("off") + F.least("last", f["last"])).alias("z"))
+    once = p + F.col("off") + F.least("last", f["last"])
+    passed = passages.where("lo >= 0").join(pioneers, "key").select("d", "t", "lo", "hi", (f.p - p).alias("delta"), f.d.alias("rd"), f.t.alias("rt"), (p + 1 - F.least("left", f.left)).alias("a"), F.when(F.col("cycle") > 0, p + 1 + F.col("cycle")).otherwise(once).alias("z"), once.alias("once"))
     found = at_place.unionByName(passed).where("rd < d or rd = d and rt < t").repartition(n, "d", "t").sortWithinPartitions("d", "t")
     spans = found.mapInArrow(_parse(min_words), "d bigint, start_word int, end_word int, refs array<bigint>")
     null = lambda c: F.when(c != NO_ID, c)
