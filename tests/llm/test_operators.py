@@ -289,7 +289,53 @@ def test_rules_column_is_the_rule():
     covered = np.zeros(600, bool)
     for r in found:
         covered |= r.covers(x)
-    assert (covered == bad).mean() > 0.95 and 1 <= len(found) <= decision_list.MAX_RULES
+    assert (covered == bad).mean() > 0.95 and 1 <= len(found) <= 8
+
+
+def test_best_condition_is_the_best_of_all_thresholds():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        v, bad = rng.integers(0, 12, 40).astype(float), rng.random(40) < 0.4
+        if not bad.any():
+            continue
+        want = 0.0
+        for at in np.unique(v)[:-1] + 0.5:
+            for c in (v <= at, v > at):
+                p, n = bad[c].sum(), c.sum()
+                want = max(want, p * (math.log2(p / n) - math.log2(bad.mean())) if p else 0)
+        assert abs(decision_list._best_condition(v, bad)[0] - want) < 1e-9
+
+
+def python_statistics(text, markers):
+    """The statistics of a text by plain Python."""
+    text = text or ""
+    letter = lambda c: c.isalpha()
+    words, lines, n = text.split(), text.split("\n"), max(len(text), 1)
+    return {
+        "n_chars": len(text),
+        "n_words": len(words),
+        "word_length": sum(map(len, words)) / max(len(words), 1),
+        "symbol_share": sum(not (letter(c) or c.isnumeric() or c.isspace() or c in ".,;:'\"()-") for c in text) / n,
+        "upper_share": sum(c.isupper() for c in text) / n,
+        "digit_share": sum(c in "0123456789" for c in text) / n,
+        "distinct_words": len(set(words)) / max(len(words), 1),
+        "bar_share": text.count("|") / n,
+        "same_lines": 1 - len(set(lines)) / len(lines),
+        "marker_words": sum(any(w.startswith(m) for m in markers) for w in re.findall(r"[^\W\d_]+", text.lower())),
+    }
+
+
+def test_rules_of_the_query_row_by_row(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    model = decision_list.DecisionList(docs, table(spark, sf, "labels"))
+    assert model.rules
+    want = {}
+    for r in docs.collect():
+        x = python_statistics(r.text, model.markers)
+        want[r.doc_id] = next((k for k, rule in enumerate(model.rules, 1) if all(x[name] <= at if op == "<=" else x[name] > at for name, op, at in rule.conditions)), 0)
+    got = {r.doc_id: (r.rule, r.keep) for r in queries.op4_quality_rules(spark, sf).collect()}
+    assert got == {i: (k, k == 0) for i, k in want.items()} and len(set(want.values())) > 2
 
 
 def test_weak_labels_hold_out(spark):
