@@ -1,10 +1,12 @@
 """Quality classifier: weak-label model.
 
-Overlapping heuristic labellers vote good, junk or toxic on each document, or don't vote. What
-each vote tells is estimated by expectation maximisation (Dawid and Skene's model) from
+Overlapping heuristic labellers vote good, junk or toxic on each document, or don't vote. How each
+votes on each of the three classes is estimated by expectation maximisation (Dawid and Skene's model) from
 the counts of vote patterns over the whole corpus, a table as small as the patterns are
-few. The posterior of its pattern labels each document; posteriors of a bounded sample
-train a linear scorer on hashed word features, which sees what no labeller does.
+few. Several labellers look for each class, and all share it, so that each is measured by the others; what is
+assumed beforehand weighs as much as a few documents, whatever the corpus. The posterior of its pattern
+labels each document; posteriors of a bounded sample train a linear scorer on hashed word features, which sees
+what no labeller does.
 """
 
 from __future__ import annotations
@@ -22,11 +24,11 @@ CLASSES = ("good", "junk", "toxic")
 NONE, GOOD, JUNK, TOXIC = 0, 1, 2, 3
 #: Bounds of the labelled rows that marker heads are mined from, and of the rows that train the scorer.
 MARKER_ROWS, TRAIN_ROWS = 20_000, 12_000
-MARKER_LEVEL, MARKER_PURITY, MARKERS = 0.05, 0.97, 256
+MARKER_LEVEL, MARKER_PURITY = 0.05, 0.97
 INSULTS = "idiot moron stupid scum loser trash pathetic worthless disgusting bastard imbecile idiota imbécil basura idiote crétin ordure connard trottel abschaum dummkopf arschloch".split()
-LABELLERS = ("symbols", "capitals", "variety", "repetition", "shouting", "length", "insults", "marker", "markers")
-FIRST_TOXIC = 6  # the labellers before look for junk, the rest for toxic words; GOOD means that a test is passed
-PRIOR, FALSE_ALARM = 0.05, 0.001
+LABELLERS = ("symbols", "signs", "capitals", "variety", "repetition", "shouting", "sentences", "length", "insults", "marker", "markers")
+#: Documents that what is assumed of each labeller and class counts as.
+PRIOR = 4.0
 #: Words of a window that variety is counted in: the share of distinct words falls with length in any text.
 VARIETY_WORDS = 1000
 
@@ -54,7 +56,7 @@ def _heads(batches):
 def mine_heads(rows: DataFrame) -> np.ndarray:
     """Four-byte word heads that occur with toxic texts beyond chance, and hardly elsewhere. rows: text, toxic.
 
-    Counted where the texts are; the driver gets the heads that qualify.
+    Counted where the texts are; the driver gets the heads that qualify, which the sample bounds.
     """
     base = rows.agg(F.avg("toxic")).first()[0] or 0
     if not 0 < base < 1:
@@ -62,7 +64,7 @@ def mine_heads(rows: DataFrame) -> np.ndarray:
     counts = durable(rows.select("text", "toxic").mapInArrow(_heads, "head bigint, n bigint, hit bigint").groupBy("head").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit")))
     need = math.log(max(counts.count(), 1) / MARKER_LEVEL) / math.log(1 / base)
     good = counts.where((F.col("hit") >= need) & (F.col("hit") >= MARKER_PURITY * F.col("n")) & (F.col("head") % 256 != 0))
-    return np.sort(np.array([r["head"] for r in good.orderBy(F.desc("hit"), "head").limit(MARKERS).collect()], np.uint64))
+    return np.sort(np.array([r["head"] for r in good.collect()], np.uint64))
 
 
 def variety(words: Words, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
@@ -90,7 +92,12 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
     letter = ((solid | 32) >= 97) & ((solid | 32) <= 122)
     digit = (solid >= 48) & (solid <= 57)
     plain = np.isin(solid, np.frombuffer(b".,;:'\"()-?", np.uint8)) | (solid >= 128)
-    symbols, capitals = share(~(letter | digit | plain)), share((solid >= 65) & (solid <= 90))
+    odd = ~(letter | digit | plain)
+    symbols, capitals = share(odd), share((solid >= 65) & (solid <= 90))
+    of_words = np.concatenate(([0], np.cumsum(words.end - words.start)))
+    signs = segment_sums(segment_sums(odd, of_words) > 0, words.first) / n
+    last = buf[np.maximum(words.end - 1, 0)] if len(words.end) else np.zeros(0, np.uint8)
+    stops = segment_sums((last == 46) | (last == 33) | (last == 63), words.first) / n
     distinct = variety(words, head, tail)
     same = np.concatenate(((head[1:] == head[:-1]) & (tail[1:] == tail[:-1]), [False])) if len(head) else np.zeros(0, bool)
     repeat = segment_sums(same, words.first) / n
@@ -101,10 +108,12 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
     return np.stack(
         [
             pick(symbols > 0.03, symbols < 0.01),
+            pick((signs > 0.1) & (n > 20), signs < 0.02),
             pick(capitals > 0.3, (capitals > 0) & (capitals < 0.15)),
             pick((distinct < 0.35) & (n > 20), distinct > 0.45),
             pick(repeat > 0.15, repeat < 0.05),
             pick(shout > 0.1, np.zeros(len(n), bool)),
+            pick(((stops < 0.02) | (stops > 0.35)) & (n > 50), (stops > 0.04) & (stops < 0.2)),
             pick(np.zeros(len(n), bool), words.counts >= 10),  # a short text is no fault
             pick(insult > 0, np.zeros(len(n), bool), TOXIC),
             pick(marked > 0, marked == 0, TOXIC),
@@ -114,45 +123,31 @@ def votes(words: Words, markers: np.ndarray) -> np.ndarray:
     ).astype(np.int8)
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """EM: (posterior of each pattern by class, P(vote | kind) of each labeller).
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
+    """EM: (posterior of each pattern by class, P(vote | class) as (labellers, classes, votes)).
 
-    Faults exclude each other: a document of repeated words passes the test for symbols. So a
-    bad document is of one of several kinds, one for each junk labeller and one for toxic
-    words; a class is the sum of its kinds. A labeller votes by one distribution on its own
-    kind and by another, shared, on all others. Kinds that one labeller alone sees can't be
-    told from its false alarms by counts, so the start is evidence too: of PRIOR times the
-    corpus for what a labeller finds, and of the whole corpus for FALSE_ALARM of the rest.
+    It starts from the vote: a class that some labeller names takes most of the pattern, toxic before junk. Each
+    round counts votes by class, with `prior` documents more that vote as is assumed: for their class if it
+    is bad, rarely for another, and with no say or a passed test otherwise.
     """
     k = patterns.shape[1]
-    of_class = np.array([0, *[1] * FIRST_TOXIC, 2])  # good, junk of each labeller, toxic
-    kinds = len(of_class)
-    own = np.minimum(np.arange(k), FIRST_TOXIC) + 1
-    mine, rest = np.full((k, 4), 0.01), np.full((k, 4), 0.01)
-    mine[:, NONE], mine[:, GOOD], rest[:, NONE], rest[:, GOOD] = 0.05, 0.04, 0.3, 0.69
-    for j in range(k):
-        fault = TOXIC if j >= FIRST_TOXIC else JUNK
-        mine[j, fault], rest[j, fault] = 0.9, FALSE_ALARM
-    mine, rest = mine / mine.sum(1, keepdims=True), rest / rest.sum(1, keepdims=True)
-    start = mine * max(20, PRIOR * counts.sum()), rest * max(20, counts.sum())
-    prior = np.array([0.8, *[0.12 / FIRST_TOXIC] * FIRST_TOXIC, 0.08])
-    post = np.zeros((len(patterns), kinds))
-    cast = np.stack([[np.where(patterns[:, j] == v, counts, 0) for v in range(4)] for j in range(k)])  # (labellers, votes, patterns)
+    cast = np.stack([[(patterns[:, j] == v).astype(float) for v in range(4)] for j in range(k)])  # (labellers, votes, patterns)
+    named = np.stack([(patterns == JUNK).any(1), (patterns == TOXIC).any(1)], 1)
+    post = np.full((len(patterns), len(CLASSES)), 0.05)
+    post[np.arange(len(patterns)), np.where(named[:, 1], 2, np.where(named[:, 0], 1, 0))] = 0.9
+    assumed = np.array([[0.3, 0.68, 0.01, 0.01], [0.3, 0.39, 0.3, 0.01], [0.3, 0.39, 0.01, 0.3]]) * prior
     for _ in range(rounds):
-        likely = np.repeat(rest[:, None], kinds, axis=1)
-        likely[np.arange(k), own] = mine
-        log = np.log(prior) + sum(np.log(likely[j][:, patterns[:, j]]).T for j in range(k))
+        weight = post * counts[:, None]
+        share = weight.sum(0) + prior
+        votes_of = np.einsum("jvp,pc->jcv", cast, weight) + assumed
+        votes_of /= votes_of.sum(2, keepdims=True)
+        log = np.log(share / share.sum()) + np.einsum("jvp,jcv->pc", cast, np.log(votes_of))
         new = np.exp(log - log.max(1, keepdims=True))
         new /= new.sum(1, keepdims=True)
-        done = len(post) and np.abs(new - post).max() < 1e-7
-        post = new
-        if done:
+        moved, post = np.abs(new - post).max(initial=0), new
+        if moved < 1e-7:
             break
-        prior = ((post * counts[:, None]).sum(0) + 1) / (counts.sum() + kinds)
-        hit = np.stack([cast[j] @ post[:, own[j]] for j in range(k)])
-        mine, rest = hit + start[0], cast.sum(2) - hit + start[1]
-        mine, rest = mine / mine.sum(1, keepdims=True), rest / rest.sum(1, keepdims=True)
-    return post @ np.eye(len(CLASSES))[of_class], likely
+    return post, votes_of
 
 
 def _code(v: np.ndarray) -> np.ndarray:
