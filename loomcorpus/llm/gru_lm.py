@@ -2,8 +2,10 @@
 
 Words are ids of a vocabulary counted over the whole corpus, by frequency; a class is a range
 of ids, short where words are frequent, and the output softmax is P(class | state)
-P(word | class, state). A word outside the vocabulary is the id UNKNOWN and then spelled by
-the corpus's byte frequencies, so that every text has a likelihood.
+P(word | class, state). A word that isn't among the WORDS most frequent is the id of its head, its first HEAD
+bytes, among the HEADS most frequent of such words; the rest of it is spelled by the corpus's pairs of
+bytes. So the recurrent model reads and predicts every word, or how it begins, and every text has a
+likelihood. What has a rare head too is the id UNKNOWN, spelled from its first byte on.
 
 Training is one pass over all documents in ROUNDS parts. In each, every task trains a copy of
 the model on its own documents by truncated backpropagation (windows of WINDOW words, the
@@ -22,74 +24,122 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, segment_sums, word_chunks
+from .common import durable, release, segment_sums, word_chunks
 
 #: Production parameters: hidden units, words of each class (END and UNKNOWN are the first), lanes and words of a training window.
-HIDDEN, SIZES = 8, (2, *[8] * 7, *[24] * 8, *[64] * 16)
+HIDDEN, SIZES = 12, (2, *[8] * 8, *[24] * 10, *[64] * 12, *[176] * 16)
+#: Bytes of a head, and how many of the ids are heads.
+HEAD, HEADS = 3, 1024
+WORDS = sum(SIZES) - 2 - HEADS
 LANES, WINDOW, ROUNDS, RATE = 512, 16, 4, 0.01
 SCORE_LANES, SCORE_WINDOW = 512, 128
 #: Words that a task holds at once, in training and in scoring.
 HELD = 4_000_000
 END, UNKNOWN = 0, 1
+#: A context of bytes, or an outcome: the border of a word.
+BORDER = 256
+
+
+def heads_of(words) -> np.ndarray:
+    """The first HEAD bytes of each word as a number, zeros where it is shorter."""
+    buf = np.concatenate((words.buf, np.zeros(HEAD, np.uint8)))
+    size, out = words.end - words.start, np.zeros(len(words.start), np.int64)
+    for k in range(HEAD):
+        out = out * 256 + np.where(size > k, buf[words.start + k], 0)
+    return out
 
 
 class Vocabulary:
-    """Ids of word hashes by frequency, and the cost of spelling a word outside."""
+    """Ids of words and heads, all by frequency, and the cost of spelling what they leave.
 
-    def __init__(self, hashes: np.ndarray, byte_counts: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-        p = byte_counts + 1.0  # bytes and, at 256, the end of a word
-        self.log_byte = np.log(p / p.sum())
+    hashes: of the words; heads: of other words; either's ids are given by `ids`. pairs: (257, 257) counts
+    of bytes by the byte before, BORDER for none.
+    """
+
+    def __init__(self, hashes: np.ndarray, heads: np.ndarray, ids: np.ndarray, pairs: np.ndarray):
+        n = len(hashes)
+        order = np.argsort(hashes)
+        self.hashes, self.word_ids = hashes[order], ids[:n][order]
+        order = np.argsort(heads)
+        self.heads, self.head_ids = heads[order], ids[n:][order]
+        self.log_pair = np.log((pairs + 1.0) / (pairs + 1.0).sum(1, keepdims=True))
 
     def encode(self, words) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, log-likelihood of each text's spelled words)."""
-        h = words.hashes()
+        """(ids of all words, log-likelihood of each text's spelled bytes)."""
+        h, head = words.hashes(), heads_of(words)
         ids = np.full(len(h), UNKNOWN, np.uint16)
+        by_head = np.zeros(len(h), bool)
+        if len(self.heads):
+            at = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
+            by_head = self.heads[at] == head
+            ids[by_head] = self.head_ids[at[by_head]]
+        known = np.zeros(len(h), bool)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             known = self.hashes[at] == h
-            ids[known] = self.order[at[known]] + 2
-        cost = np.concatenate(([0.0], np.cumsum(self.log_byte[words.buf])))
-        spelled = np.where(ids == UNKNOWN, cost[words.end] - cost[words.start] + self.log_byte[256], 0.0)
-        return ids, segment_sums(spelled, words.first)
+            ids[known] = self.word_ids[at[known]]
+        buf = words.buf.astype(np.int64)
+        before = np.concatenate(([BORDER], buf[:-1]))
+        before[words.start] = BORDER
+        cost = np.concatenate(([0.0], np.cumsum(self.log_pair[before, buf])))
+        size = words.end - words.start
+        rest = np.where(by_head, np.minimum(words.start + HEAD, words.end), words.start)
+        spelled = cost[words.end] - cost[rest] + np.where(by_head & (size < HEAD), 0.0, self.log_pair[buf[np.maximum(words.end - 1, 0)], BORDER] if len(size) else 0.0)
+        return ids, segment_sums(np.where(known, 0.0, spelled), words.first)
 
 
 def _count(batches):
-    """Of one task: (kind, key, n) with kind 0 for word hashes, 1 for bytes and ends of words (key 256)."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    of_bytes = np.zeros(257, np.int64)
+    """Of one task: (kind, key, head, n) with kind 0 for word hashes, 1 for pairs of bytes."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    pairs = np.zeros(257 * 257, np.int64)
 
     def merged():
-        h, n = (np.concatenate(x) for x in zip(*held))
-        keys, where = np.unique(h, return_inverse=True)
-        return keys, np.bincount(where, n, len(keys)).astype(np.int64)
+        h, head, n = (np.concatenate(x) for x in zip(*held))
+        keys, first, where = np.unique(h, return_index=True, return_inverse=True)
+        return keys, head[first], np.bincount(where, n, len(keys)).astype(np.int64)
 
     for b in batches:
         for _, _, words in word_chunks(b.column(0)):
-            held.append(np.unique(words.hashes(), return_counts=True))
-            solid = np.bincount(words.buf, minlength=256)
-            solid[[32, 9, 10, 11, 12, 13]] = 0
-            of_bytes[:256] += solid
-            of_bytes[256] += len(words.start)
-            if len(held) >= 16:
+            h, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
+            held.append((h, heads_of(words)[first], n))
+            buf = words.buf.astype(np.int64)
+            before = np.concatenate(([BORDER], buf[:-1]))
+            before[words.start] = BORDER
+            solid = np.zeros(len(buf) + 1, np.int8)
+            np.add.at(solid, words.start, 1)
+            np.add.at(solid, words.end, -1)
+            solid = np.cumsum(solid[:-1]).astype(bool)
+            pairs += np.bincount((before * 257 + buf)[solid], minlength=257 * 257)
+            pairs += np.bincount(buf[words.end - 1] * 257 + BORDER, minlength=257 * 257) if len(words.end) else 0
+            if len(held) >= 64:
                 held = [merged()]
     if held:
-        keys, n = merged()
-        kind = np.zeros(len(keys) + 257, np.int32)
-        kind[len(keys) :] = 1
-        yield pa.record_batch([pa.array(kind), pa.array(np.concatenate((keys.view(np.int64), np.arange(257)))), pa.array(np.concatenate((n, of_bytes)))], ["kind", "key", "n"])
+        keys, head, n = merged()
+        some = np.flatnonzero(pairs)
+        kind = np.concatenate((np.zeros(len(keys), np.int32), np.ones(len(some), np.int32)))
+        yield pa.record_batch([pa.array(kind), pa.array(np.concatenate((keys.view(np.int64), some))), pa.array(np.concatenate((head, some))), pa.array(np.concatenate((n, pairs[some])))], ["kind", "key", "head", "n"])
+    release()
+
 
+def build_vocabulary(docs: DataFrame, words: int = WORDS, heads: int = HEADS) -> Vocabulary:
+    """The most frequent words of all documents, and the most frequent heads of the others; ties by hash and head.
 
-def build_vocabulary(docs: DataFrame, size: int) -> Vocabulary:
-    """The `size` most frequent words of all documents, ties by hash."""
-    counts = docs.select("text").mapInArrow(_count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("kind"), F.desc("n"), "key").limit(size + 257).collect()
-    of_bytes = np.zeros(257)
-    for r in rows:
-        if r["kind"] == 1:
-            of_bytes[r["key"]] = r["n"]
-    return Vocabulary(np.array([r["key"] for r in rows if r["kind"] == 0], np.int64).view(np.uint64), of_bytes)
+    Counts are made in the tasks and summed; the driver gets what is chosen, and at most 257 * 257 pairs of bytes.
+    """
+    counts = docs.select("text").mapInArrow(_count, "kind int, key bigint, head bigint, n bigint").groupBy("kind", "key").agg(F.max("head").alias("head"), F.sum("n").alias("n"))
+    counts = durable(counts)
+    pairs = np.zeros(257 * 257)
+    for r in counts.where("kind = 1").select("key", "n").collect():
+        pairs[r["key"]] = r["n"]
+    top = counts.where("kind = 0").orderBy(F.desc("n"), "key").limit(words).select("key", "n").collect()
+    # The others are those that come after the last of them in that order.
+    others = counts.where("kind = 0")
+    others = others.where((F.col("n") < top[-1]["n"]) | (F.col("n") == top[-1]["n"]) & (F.col("key") > top[-1]["key"])) if top else others
+    first = others.groupBy("head").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "head").limit(heads).collect()
+    n = np.array([r["n"] for r in top] + [r["n"] for r in first], np.int64)
+    ids = np.empty(len(n), np.uint16)
+    ids[np.argsort(-n, kind="stable")] = np.arange(2, len(n) + 2)
+    return Vocabulary(np.array([r["key"] for r in top], np.int64).view(np.uint64), np.array([r["head"] for r in first], np.int64), ids, pairs.reshape(257, 257))
 
 
 class Model:
@@ -393,8 +443,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     text and its end; perplexity is per word, the end counted as one. Null and empty texts
     have 0 words and the likelihood of an end alone. Repeated rows repeat, and count as
     often in training; null ids stay null. An empty table gives no rows; extra columns are ignored.
+    Each task trains on the documents it has, so scores depend a little on how the table is partitioned; equal
+    texts of one run have equal scores.
     """
-    vocabulary = build_vocabulary(docs, sum(SIZES) - 2)
+    vocabulary = build_vocabulary(docs)
     part = F.pmod(F.xxhash64("doc_id", F.col("text")), F.lit(ROUNDS)).cast("int")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", part.alias("part"))
     encoded = durable(rows.mapInArrow(_encode(vocabulary), "doc_id bigint, n_words bigint, spelled double, ids binary, part int"))

@@ -94,18 +94,50 @@ def test_training_beats_word_frequencies_on_held_out_text():
 
 
 def test_lm_counts_every_word(spark, docs, rows):
+    import pyarrow as pa
+    from loomcorpus.llm.common import word_chunks
+
     out = {r.doc_id: r for r in gru_lm.score_documents(docs).collect()}
     words = {i: len(t.encode().split()) for i, t in rows}
     assert {i: r.n_words for i, r in out.items()} == words
     counts = Counter(w for _, t in rows for w in t.encode().split())
-    v = gru_lm.build_vocabulary(docs, 50)
-    assert len(v.hashes) == 50
-    from loomcorpus.llm.common import word_chunks
+    v = gru_lm.build_vocabulary(docs, 50, 30)
+    assert len(v.hashes) == 50 and len(v.heads) == 30 and sorted([*v.word_ids, *v.head_ids]) == list(range(2, 82))
+    _, _, w = next(word_chunks(pa.array([t for _, t in rows]), 1 << 40))
+    ids, spelled = v.encode(w)
+    in_order = [x for _, t in rows for x in t.encode().split()]
+    known = {x for x in counts if (ids[in_order.index(x)] in set(v.word_ids.tolist()))}
+    assert sum(counts[x] for x in known) == sum(n for _, n in counts.most_common(50))
+    heads = Counter()
+    for x, n in counts.items():
+        heads[x[:3]] += n if x not in known else 0
+    assert sum(np.isin(ids, v.head_ids)) == sum(n for _, n in heads.most_common(30))
+    # What the ids leave is spelled byte by byte, given the byte before.
+    pairs = np.ones((257, 257))
+    for x, n in counts.items():
+        for a, b in zip([256, *x], [*x, 256]):
+            pairs[a, b] += n
+    log, at = np.log(pairs / pairs.sum(1, keepdims=True)), 0
+    for (_, t), got in zip(rows[:40], spelled):
+        want = 0.0
+        for x in t.encode().split():
+            if x not in known:
+                path = list(zip([256, *x], [*x, 256]))
+                headed = ids[at] in set(v.head_ids.tolist())
+                want += sum(log[a, b] for a, b in (path[3:] if headed else path))
+            at += 1
+        assert abs(got - want) < 1e-6
+
+
+def test_lm_model_reads_most_of_every_text(spark):
+    """On the larger table words and heads together are nearly all there is; what is scored is better than by frequencies."""
     import pyarrow as pa
+    from loomcorpus.llm.common import word_chunks
 
-    _, _, w = next(word_chunks(pa.array([t for _, t in rows]), 1 << 40))
-    ids, _ = v.encode(w)
-    assert (ids != gru_lm.UNKNOWN).sum() == sum(n for _, n in counts.most_common(50))
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    v = gru_lm.build_vocabulary(docs)
+    ids = np.concatenate([v.encode(w)[0] for _, _, w in word_chunks(pa.array([r.text for r in docs.select("text").collect()]))])
+    assert (ids != gru_lm.UNKNOWN).mean() > 0.9
 
 
 # 2: mixing
