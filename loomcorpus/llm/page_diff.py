@@ -1,31 +1,31 @@
 """HTML extraction: nearest-URL page differencing.
 
 Within a host, pages are put in order of URL path; a page's partner is the neighbour in
-that order whose path shares the longer head with its own. The text lines of the two are
-aligned by longest common subsequence, and the lines they share, which are the site's
+that order whose path shares the longer head with its own, copies of the page itself left out. The text
+lines of the two are aligned by longest common subsequence, and the lines they share, which are the site's
 and not the page's, are deleted.
 
-Pages travel once, as text lines. A host larger than CHUNK pages is cut at every
-CHUNK-th path, found by ranking the keys alone, and the pages on both sides of a cut are
-sent to both chunks, so that no host has to fit in one task and every page meets both
-its neighbours.
+Pages travel once, as text lines. Their keys alone are sorted by range first, over all hosts, and every
+task gives the keys at which its part may be cut; a page finds its chunk among the cuts by binary search,
+and the pages on both sides of a cut are sent to both chunks. So no host has to be in one task, and every page
+meets both its neighbours. Chunks are read as a stream, two pages and the keys of equal ones at a time.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import durable
+from .common import release
 
 CHUNK = 1024
-#: Cuts, one for CHUNK pages at most, are broadcast up to this number; beyond it they are joined by host.
-BROADCAST_CUTS = 200_000
+#: Cuts are known to all tasks, so there are no more than that; beyond, chunks are longer.
+MOST_CUTS = 50_000
 _BLOCK = "address|article|aside|blockquote|body|br|button|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|noscript|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|title|tr|ul"
 OPEN = re.compile(r"<!--|<(script|style|template|svg|head)(?=[\s/>])[^>]*>|<![^>]*>|<\?[^>]*>", re.I)
 END = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "template", "svg")}
@@ -124,50 +124,95 @@ def shared_head(a: str, b: str) -> int:
     return n
 
 
-def own_lines(page: tuple, before: tuple | None, after: tuple | None) -> tuple[list[str], tuple | None]:
-    """(lines that the partner hasn't, partner). page: (path, id, lines); the one before wins a tie."""
-    partner = before if after is None or (before is not None and shared_head(page[0], before[0]) >= shared_head(page[0], after[0])) else after
-    if partner is None:
-        return page[2], None
-    shared = set(common_lines(page[2], partner[2]))
-    return [x for i, x in enumerate(page[2]) if i not in shared], partner
+def nearer(path: str, before: tuple | None, after: tuple | None) -> tuple | None:
+    """The neighbour (path, id, lines) that shares the longer head with the path; the one before on a tie."""
+    if before is None or after is None:
+        return before or after
+    return before if shared_head(path, before[0]) >= shared_head(path, after[0]) else after
 
 
-def _lines(batches):
-    for b in batches:
-        for at in range(0, b.num_rows, 200):
-            part = b.slice(at, 200)
-            out = ["\n".join(text_lines(x)) for x in part.column(4).to_pylist()]
-            yield pa.record_batch([*part.columns[:4], pa.array(out, pa.string())], ["host", "path", "page_id", "h", "text"])
+def _order(host, path, page_id, h) -> tuple:
+    """A key that sorts as Spark sorts the columns, nulls first."""
+    return host, path, page_id is not None, page_id or 0, h
+
+
+def _find_cuts(chunk: int):
+    """(host, path, page_id, h) of the page before and of the page after each cut of a sorted part of the keys."""
+
+    def run(batches):
+        last, n = None, 0
+        for b in batches:
+            out = []
+            for key in zip(*[b.column(k).to_pylist() for k in range(4)]):
+                if last is not None and n >= chunk and (key[3] != last[3] or key[0] != last[0]):  # copies aren't parted
+                    out.append((*last, *key))
+                    n = 0
+                last, n = key, n + 1
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), [pa.string(), pa.string(), pa.int64(), pa.int64()] * 2)], [f"{x}{k}" for k in (0, 1) for x in ("host", "path", "page_id", "h")])
+
+    return run
+
+
+def _lines(cuts):
+    """The text lines of pages, and the chunk of each; the pages next to a cut are ghosts in the chunk beyond."""
+    names = ["chunk", "host", "path", "page_id", "h", "ghost", "text"]
+
+    def run(batches):
+        first = [c[1] for c in cuts.value]
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                rows = []
+                for host, path, page_id, h, html in zip(*[c.to_pylist() for c in b.slice(at, 200).columns]):
+                    key, text = _order(host, path, page_id, h), "\n".join(text_lines(html))
+                    k = bisect_right(first, key)
+                    rows.append((k, host, path, page_id, h, False, text))
+                    if k and first[k - 1] == key:
+                        rows.append((k - 1, host, path, page_id, h, True, text))
+                    if k < len(first) and cuts.value[k][0] == key:
+                        rows.append((k + 1, host, path, page_id, h, True, text))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string()])], names)
+        release()
+
+    return run
 
 
 def _difference(batches):
-    """Pages in order of (host, chunk, path, id, hash); `ghost` pages are neighbours only."""
-    held: list[tuple] = []  # at most: the page before, the page in hand
+    """Pages in order of (chunk, host, path, id, hash); `ghost` pages are neighbours only."""
+    before = group = None  # the page before the group, and pages in a row that are equal: [chunk and host, hash, lines, keys]
 
-    def settle(before, page, after):
-        kept, partner = own_lines(page[1], before and before[1], after and after[1])
-        return (page[1][1], partner and partner[1], len(page[1][2]), len(page[1][2]) - len(kept), "\n".join(kept), page[2])
+    def settle(after):
+        for path, page_id, ghost in group[3]:
+            if not ghost:
+                partner = nearer(path, before, after)
+                gone = set(common_lines(group[2], partner[2])) if partner else ()
+                kept = [x for i, x in enumerate(group[2]) if i not in gone]
+                yield page_id, partner and partner[1], len(group[2]), len(group[2]) - len(kept), "\n".join(kept)
 
     def emit(rows):
         c = list(zip(*rows))
         return pa.record_batch([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.string())], ["page_id", "partner_id", "n_lines", "n_removed", "text"])
 
-    before = page = None
+    rows = []
     for b in batches:
-        rows = []
-        for host, chunk, path, page_id, ghost, text in zip(*[b.column(i).to_pylist() for i in range(6)]):
-            now = ((host, chunk), (path, page_id, text.split("\n") if text else []), ghost)
-            if page is not None:
-                same = page[0] == now[0]
-                if not page[2]:
-                    rows.append(settle(before, page, now if same else None))
-                before = page if same else None
-            page = now
-        if rows:
-            yield emit(rows)
-    if page is not None and not page[2]:
-        yield emit([settle(before, page, None)])
+        for chunk, host, path, page_id, h, ghost, text in zip(*[b.column(i).to_pylist() for i in range(7)]):
+            if group and group[:2] == [(chunk, host), h]:
+                group[3].append((path, page_id, ghost))
+                continue
+            lines = text.split("\n") if text else []
+            if group:
+                same = group[0] == (chunk, host)
+                rows += settle((path, page_id, lines) if same else None)
+                before = (*group[3][-1][:2], group[2]) if same else None
+            group = [(chunk, host), h, lines, [(path, page_id, ghost)]]
+            if len(rows) >= 500:
+                yield emit(rows)
+                rows = []
+    if group:
+        rows += settle(None)
+    if rows:
+        yield emit(rows)
+    release()
 
 
 def host_and_path(url):
@@ -182,35 +227,21 @@ def page_texts(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(page_id, partner_id, n_lines, n_removed, text) of every page.
 
     Order within a host is (path, page_id, hash of html), null ids first; the partner is
-    the neighbour that shares the longer head of the path, the one before on a tie. The
-    only page of a host has no partner (null) and keeps its text. A null or empty page
-    has no lines and "" as text. A page with a null URL goes with the others that have no
-    host. Repeated rows are pages like others, so copies delete each other's lines.
-    An empty table gives no rows; extra columns are ignored.
+    the nearest page before or after of other html, the one that shares the longer head of the path, and the one before
+    on a tie. A page without such a neighbour in its host has no partner (null) and keeps its text, so copies never
+    delete each other. A null or empty page has no lines and "" as text. A page with a null URL goes with the others
+    that have no host. Repeated rows each get their row. An empty table gives no rows; extra columns are ignored.
     """
     spark = pages.sparkSession
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select(host.alias("host"), path.alias("path"), F.col("page_id").cast("bigint").alias("page_id"), F.xxhash64("html").alias("h"), "html")
-    key = ["path", "page_id", "h"]
-    order = Window.partitionBy("host").orderBy(*key)
-    ranked = rows.select("host", *key).withColumn("k", F.row_number().over(order) - 1)
-    k = F.col("k")
-    last = ranked.withColumn("before", F.lag(F.struct(*key)).over(order))
-    cuts = last.where((k > 0) & (k % chunk == 0)).groupBy("host").agg(F.sort_array(F.collect_list(F.struct(F.struct(*key).alias("from"), "before"))).alias("cuts"))
-    cuts = durable(cuts)
-    few = (cuts.agg(F.sum(F.size("cuts"))).first()[0] or 0) <= BROADCAST_CUTS
-    lines = rows.mapInArrow(_lines, "host string, path string, page_id bigint, h bigint, text string")
-    placed = lines.join(F.broadcast(cuts) if few else cuts, "host", "left").withColumn("me", F.struct(*key))
-    n = F.coalesce(F.size(F.filter("cuts", lambda c: c["from"] <= F.col("me"))), F.lit(0))
-    placed = placed.withColumn("n", n)
-    first = F.exists("cuts", lambda c: c["from"] == F.col("me"))  # first of its chunk: a ghost in the one before
-    final = F.exists("cuts", lambda c: c["before"] == F.col("me"))  # last of its chunk: a ghost in the one after
-    copies = F.array(
-        F.struct(F.col("n").alias("chunk"), F.lit(False).alias("ghost")),
-        F.when(F.coalesce(first, F.lit(False)), F.struct((F.col("n") - 1).alias("chunk"), F.lit(True).alias("ghost"))),
-        F.when(F.coalesce(final, F.lit(False)), F.struct((F.col("n") + 1).alias("chunk"), F.lit(True).alias("ghost"))),
-    )
-    sent = placed.select("host", *key, "text", F.explode(F.filter(copies, lambda c: c.isNotNull())).alias("c")).select("host", "c.chunk", *key, "c.ghost", "text")
+    key = ["host", "path", "page_id", "h"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = sent.repartition(parts, "host", "chunk").sortWithinPartitions("host", "chunk", *key)
-    return sorted_.select("host", "chunk", "path", "page_id", "ghost", "text").mapInArrow(_difference, "page_id bigint, partner_id bigint, n_lines int, n_removed int, text string")
+    size = max(chunk, -(-pages.count() // MOST_CUTS))
+    sides = ", ".join(f"host{k} string, path{k} string, page_id{k} bigint, h{k} bigint" for k in (0, 1))
+    found = rows.select(*key).repartitionByRange(parts, *key).sortWithinPartitions(*key).mapInArrow(_find_cuts(size), sides).collect()
+    cuts = spark.sparkContext.broadcast(sorted(((_order(*c[:4]), _order(*c[4:])) for c in found), key=lambda c: c[1]))
+    sent = rows.mapInArrow(_lines(cuts), "chunk bigint, host string, path string, page_id bigint, h bigint, ghost boolean, text string")
+    order = ["chunk", "host", "path", "page_id", "h"]
+    sorted_ = sent.repartition(parts, "chunk").sortWithinPartitions(*order)
+    return sorted_.mapInArrow(_difference, "page_id bigint, partner_id bigint, n_lines int, n_removed int, text string")

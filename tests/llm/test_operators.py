@@ -476,23 +476,36 @@ def brute_pages(pages):
     hosts = defaultdict(list)
     for r in pages:
         m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)", r.url)
-        hosts[re.sub(r"^www\.", "", m[1].lower())].append((m[2], r.page_id, page_diff.text_lines(r.html)))
+        hosts[re.sub(r"^www\.", "", m[1].lower())].append((m[2], r.page_id, r.html))
     out = {}
     for group in hosts.values():
         group.sort()
         for k, page in enumerate(group):
-            near = [g for g in group[max(0, k - 1) : k] + group[k + 1 : k + 2]]
-            best = max(near, key=lambda g: page_diff.shared_head(page[0], g[0]), default=None)
-            gone = set(page_diff.common_lines(page[2], best[2])) if best else set()
-            out[page[1]] = "\n".join(x for i, x in enumerate(page[2]) if i not in gone)
+            before = next((g for g in reversed(group[:k]) if g[2] != page[2]), None)
+            after = next((g for g in group[k + 1 :] if g[2] != page[2]), None)
+            best = max((g for g in (before, after) if g), key=lambda g: page_diff.shared_head(page[0], g[0]), default=None)
+            lines = page_diff.text_lines(page[2])
+            gone = set(page_diff.common_lines(lines, page_diff.text_lines(best[2]))) if best else set()
+            out[page[1]] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
 
-def test_pages_in_any_chunks(spark, sf_dir):
+def test_pages_in_any_chunks(spark, sf_dir, monkeypatch):
     pages = table(spark, sf_dir, "pages")
     want = brute_pages(pages.collect())
     for chunk in (page_diff.CHUNK, 3):
         assert {r.page_id: r.text for r in page_diff.page_texts(pages, chunk).collect()} == want
+    monkeypatch.setattr(page_diff, "MOST_CUTS", 2)
+    assert {r.page_id: r.text for r in page_diff.page_texts(pages, 3).collect()} == want
+
+
+def test_one_host_and_one_page_in_most_rows(spark):
+    rng = random.Random(66)
+    copy = "<p>head</p><p>always the same</p><p>foot</p>"
+    rows = [(i, f"http://{'big.org' if rng.random() < 0.9 else 'b.org'}/{rng.choice('abc')}/{rng.randrange(90)}", copy if rng.random() < 0.6 else f"<p>head</p><p>own {i}</p><p>foot</p>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in page_diff.page_texts(pages, 5).collect()}
+    assert got == brute_pages(pages.collect()) and set(got.values()) <= {"always the same", *(f"own {i}" for i in range(400))}
 
 
 def test_unclosed_elements_lose_no_text():
