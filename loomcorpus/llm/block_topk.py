@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable
+from .common import durable, release
 
 K = 10
 K1, B, SCALE = 1.2, 0.75, 1e6
-BLOCK, QUERIES_A_PASS = 128, 4096
+BLOCK, SEGMENT, QUERIES_A_PASS = 128, 256, 4096
 TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -67,53 +67,84 @@ def _add_up(batches):
         yield pa.record_batch([pa.array([n], pa.int64()), pa.array([df.astype("<i8").tobytes()], pa.binary()), pa.array([words.to_bytes(8, "little")], pa.binary())], ["size", "terms", "tfs"])
 
 
-def top_of_blocks(block_max, blocks, terms, k: int) -> list[tuple[int, int]]:
-    """(score, row) of the best k by (-score, row) for one query.
+class Segment:
+    """Blocks of BLOCK consecutive rows: their forward indexes, and each term's maxima in the blocks that have it."""
 
-    block_max: (blocks, vocabulary) term maxima; blocks: for each block (first row, rows, local row, term,
-    impact) of its forward index.
-    """
-    bound = block_max[:, terms].sum(1)
-    wanted = np.zeros(block_max.shape[1], bool)
-    wanted[terms] = True
-    best = np.zeros((0, 2), np.int64)
-    for x in np.argsort(-bound, kind="stable"):
-        if bound[x] == 0 or (len(best) == k and bound[x] < best[-1, 0]):
-            break
-        first, rows, local, term, impact = blocks[x]
-        hit = wanted[term]
-        score = np.bincount(local[hit], impact[hit], rows).astype(np.int64)
-        some = np.flatnonzero(score if len(best) < k else score >= best[-1, 0])
-        some = some[score[some] > 0]
-        if len(some):
-            best = np.concatenate((best, np.stack((score[some], some + first), 1)))
-            best = best[np.lexsort((best[:, 1], -best[:, 0]))][:k]
-    return [(int(s), int(r)) for s, r in best]
+    def __init__(self, terms: list[np.ndarray], impacts: np.ndarray, first: int):
+        n = np.array([len(x) for x in terms])
+        self.first, self.rows = first, len(terms)
+        row, self.term, self.impact = np.repeat(np.arange(len(terms)), n), np.concatenate(terms).astype(np.int64), impacts
+        self.count = -(-len(terms) // BLOCK)
+        self.cut = np.searchsorted(row, np.arange(self.count + 1) * BLOCK)
+        self.local = row % BLOCK
+        order = np.lexsort((row // BLOCK, self.term))
+        block, term = (row // BLOCK)[order], self.term[order]
+        new = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))) if len(term) else np.zeros(0, np.int64)
+        self.most = np.maximum.reduceat(impacts[order], new) if len(new) else np.zeros(0, np.int64)
+        self.of_term, self.of_block = term[new], block[new]
+
+    def bounds(self, terms: np.ndarray) -> np.ndarray:
+        """Of each block the sum of the terms' maxima."""
+        a, z = np.searchsorted(self.of_term, terms, side="left"), np.searchsorted(self.of_term, terms, side="right")
+        at = np.concatenate([np.arange(i, j) for i, j in zip(a, z)]) if len(terms) else np.zeros(0, np.int64)
+        out = np.zeros(self.count, np.int64)
+        np.add.at(out, self.of_block[at], self.most[at])
+        return out
+
+    def best(self, terms: np.ndarray, k: int, best: np.ndarray) -> np.ndarray:
+        """(score, row) of the best k by (-score, row), those in `best` of earlier rows among them."""
+        bound = self.bounds(terms)
+        for x in np.argsort(-bound, kind="stable"):
+            if bound[x] == 0 or (len(best) == k and bound[x] < best[-1, 0]):
+                break
+            own = slice(self.cut[x], self.cut[x + 1])
+            at = np.searchsorted(terms, self.term[own])
+            hit = terms[np.minimum(at, len(terms) - 1)] == self.term[own]
+            score = np.zeros(BLOCK, np.int64)
+            np.add.at(score, self.local[own][hit], self.impact[own][hit])
+            some = np.flatnonzero(score >= (max(best[-1, 0], 1) if len(best) == k else 1))
+            if len(some):
+                best = np.concatenate((best, np.stack((score[some], some + x * BLOCK + self.first), 1)))
+                best = best[np.lexsort((best[:, 1], -best[:, 0]))][:k]
+        return best
 
 
 def _search(queries: list[tuple[int, np.ndarray]], idf: np.ndarray, mean: float, k: int):
     def run(batches):
-        ids, size, terms, tfs = [], [], [], []
+        best = {q: np.zeros((0, 2), np.int64) for q, _ in queries}
+        ids: dict[int, int | None] = {}  # of the rows in best
+        held, size, done = [], 0, 0
+
+        def settle():
+            nonlocal ids, done
+            doc_ids = [x for b in held for x in b.column(0).to_pylist()]
+            length = np.concatenate([b.column(1).to_numpy() for b in held])
+            terms, tfs = ([np.frombuffer(x, "<u4") for b in held for x in b.column(c).to_pylist()] for c in (2, 3))
+            n = np.array([len(x) for x in terms])
+            term, tf, long = np.concatenate(terms).astype(np.int64), np.concatenate(tfs).astype(np.float64), np.repeat(length, n)
+            impact = np.floor(SCALE * idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long / mean)) + 0.5).astype(np.int64)
+            segment = Segment(terms, impact, done)
+            for q, t in queries:
+                best[q] = segment.best(t, k, best[q])
+            kept = {int(r) for x in best.values() for r in x[:, 1]}
+            ids = {r: ids[r] if r < done else doc_ids[r - done] for r in kept}
+            done += len(doc_ids)
+
         for b in batches:
-            ids += b.column(0).to_pylist()
-            size.append(b.column(1).to_numpy())
-            terms += [np.frombuffer(x, "<u4") for x in b.column(2).to_pylist()]
-            tfs += [np.frombuffer(x, "<u4") for x in b.column(3).to_pylist()]
-        if not ids:
-            return
-        n = np.array([len(x) for x in terms])
-        row, term, tf = np.repeat(np.arange(len(ids)), n), np.concatenate(terms).astype(np.int64), np.concatenate(tfs).astype(np.float64)
-        length = np.concatenate(size)[row]
-        impact = np.floor(SCALE * idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean)) + 0.5).astype(np.int64)
-        count = -(-len(ids) // BLOCK)
-        block_max = np.zeros((count, len(idf)), np.int64)
-        np.maximum.at(block_max, (row // BLOCK, term), impact)
-        cut = np.searchsorted(row, np.arange(count + 1) * BLOCK)
-        blocks = [(x * BLOCK, min(BLOCK, len(ids) - x * BLOCK), row[a:z] - x * BLOCK, term[a:z], impact[a:z]) for x, (a, z) in enumerate(zip(cut[:-1], cut[1:]))]
-        found = [(q, ids[r], s) for q, t in queries for s, r in top_of_blocks(block_max, blocks, t, k)]
+            for at in range(0, b.num_rows, SEGMENT * BLOCK):
+                part = b.slice(at, SEGMENT * BLOCK)
+                if size + part.num_rows > SEGMENT * BLOCK and held:
+                    settle()
+                    held, size = [], 0
+                held.append(part)
+                size += part.num_rows
+        if size:
+            settle()
+        found = [(q, ids[int(r)], int(x)) for q, top in best.items() for x, r in top]
         if found:
             q, d, s = zip(*found)
             yield pa.record_batch([pa.array(q, pa.int32()), pa.array(d, pa.int64()), pa.array(s, pa.int64())], ["q", "doc_id", "score"])
+        release()
 
     return run
 

@@ -536,6 +536,38 @@ def test_search_is_the_best_of_all(spark, docs, sf_dir):
         block_topk.QUERIES_A_PASS = before
 
 
+def test_segments_and_blocks_of_any_size_find_the_same():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(70)
+    n, words = 500, 40
+    terms = [np.sort(rng.choice(words, rng.integers(1, 12), replace=False)).astype("<u4") for _ in range(n)]
+    tfs = [rng.integers(1, 4, len(t)).astype("<u4") for t in terms]
+    size = rng.integers(5, 50, n)
+    rows = pa.record_batch([pa.array([None, *range(1, n)], pa.int64()), pa.array(size), pa.array([t.tobytes() for t in terms], pa.binary()), pa.array([t.tobytes() for t in tfs], pa.binary())], ["doc_id", "size", "terms", "tfs"])
+    idf, asked = rng.random(words) * 3, [(q, np.sort(rng.choice(words, rng.integers(1, 6), replace=False))) for q in range(30)]
+    want = {}
+    for q, t in asked:
+        score = np.zeros(n, np.int64)
+        for i in range(n):
+            tf = tfs[i].astype(float)
+            hit = np.isin(terms[i], t)
+            score[i] = np.floor(1e6 * idf[terms[i]] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size[i] / 20.0)) + 0.5).astype(np.int64)[hit].sum()
+        best = np.lexsort((np.arange(n), -score))[:10]
+        want[q] = [(i or None, int(score[i])) for i in best.tolist() if score[i] > 0]
+    was = block_topk.BLOCK, block_topk.SEGMENT
+    try:
+        for block, segment in ((128, 256), (7, 3), (16, 1)):
+            block_topk.BLOCK, block_topk.SEGMENT = block, segment
+            got = defaultdict(list)
+            for b in block_topk._search(asked, idf, 20.0, 10)(iter([rows.slice(0, 90), rows.slice(90, 3), rows.slice(93)])):
+                for r in b.to_pylist():
+                    got[r["q"]].append((r["doc_id"], r["score"]))
+            assert dict(got) == {q: x for q, x in want.items() if x}
+    finally:
+        block_topk.BLOCK, block_topk.SEGMENT = was
+
+
 # 8: SentencePiece
 
 
