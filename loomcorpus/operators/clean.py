@@ -249,6 +249,14 @@ def cleaned(text: Column, loose: bool = False) -> Column:
     return _column(lambda t: clean_docstring(t, loose))(text)
 
 
+def spans_dropped(text: Column) -> Column:
+    return _column(drop_spans)(text)
+
+
+def ornaments_trimmed(text: Column) -> Column:
+    return _column(trim_ornaments)(text)
+
+
 def noise_removed(text: Column) -> Column:
     return _column(remove_noise)(text)
 

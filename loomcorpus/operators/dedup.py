@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,12 @@ def bands(permutations: int = PERMUTATIONS, threshold: float = THRESHOLD) -> tup
     return best[1], best[2]
 
 
+def bands_for_recall(threshold: float, recall: float) -> tuple[int, int]:
+    """(bands, rows) with the most rows, of at most PERMUTATIONS in all, that find a pair at the threshold with chance `recall`."""
+    found = [(math.ceil(math.log(1 - recall) / math.log(1 - threshold**r)), r) for r in range(1, 17)]
+    return max(((b, r) for b, r in found if b * r <= PERMUTATIONS), key=lambda x: x[1], default=found[0])
+
+
 def signature(grams: Column, permutations: int = PERMUTATIONS) -> Column:
     """The least hash of the n-grams under each of some permutations; nothing for no n-gram.
 
@@ -48,12 +55,18 @@ def signature(grams: Column, permutations: int = PERMUTATIONS) -> Column:
         rng = np.random.default_rng(128)
         a = rng.integers(0, 2**63, permutations, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         b = rng.integers(0, 2**63, permutations, dtype=np.uint64)
-
-        def one(h):
-            x = np.asarray(h, np.int64).view(np.uint64)
-            return [int((x * p + q >> np.uint64(1)).min()) for p, q in zip(a, b)] if len(x) else []
-
-        return hashed.map(one)
+        sizes = hashed.map(len).to_numpy(np.int64)
+        some = np.flatnonzero(sizes)
+        out = np.empty((len(some), permutations), np.int64)
+        if len(some):
+            flat = np.concatenate([np.asarray(h, np.int64) for h in hashed.iloc[some]]).view(np.uint64)
+            first = np.cumsum(sizes[some]) - sizes[some]
+            for k in range(permutations):
+                out[:, k] = np.minimum.reduceat((flat * a[k] + b[k]) >> np.uint64(1), first).view(np.int64)
+        rows = [np.zeros(0, np.int64)] * len(hashed)
+        for i, r in zip(some, out):
+            rows[i] = r
+        return pd.Series(rows, dtype=object)
 
     return least(F.transform(grams, lambda g: F.xxhash64(g)))
 
@@ -68,9 +81,9 @@ def overlap(left: DataFrame, right: DataFrame, threshold: float, pairs: DataFram
     return both.select("src", "tgt", (F.col("count") / (F.col("na") + F.col("nb") - F.col("count"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
-def candidates(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, permutations: int = PERMUTATIONS) -> DataFrame:
-    """(src, tgt) pairs that share a band of their signatures."""
-    b, r = bands(permutations, threshold)
+def candidates(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, permutations: int = PERMUTATIONS, recall: float | None = None) -> DataFrame:
+    """(src, tgt) pairs that share a band of their signatures. With `recall`, bands are made for that chance at the threshold."""
+    b, r = bands(permutations, threshold) if recall is None else bands_for_recall(threshold, recall)
 
     def banded(df: DataFrame, name: str) -> DataFrame:
         signed = df.where(F.size("grams") > 0).select(F.col("id").alias(name), F.explode(F.array(signature(F.col("grams"), b * r))).alias("s"))
@@ -80,9 +93,9 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD,
     return banded(left, "src").join(banded(right, "tgt"), "key").select("src", "tgt").distinct()
 
 
-def contaminated(corpus: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(corpus: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, recall: float | None = None) -> DataFrame:
     """(tgt, src[]): for each benchmark item the corpus rows in its bands, unverified, sorted."""
-    return candidates(corpus, benchmark, threshold).groupBy("tgt").agg(F.sort_array(F.collect_set("src")).alias("src"))
+    return candidates(corpus, benchmark, threshold, recall=recall).groupBy("tgt").agg(F.sort_array(F.collect_set("src")).alias("src"))
 
 
 def without(corpus: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
@@ -91,11 +104,21 @@ def without(corpus: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
 
 
 def sha1_signature(words: list[str], size: int = 100) -> list[bytes]:
-    """160-bit signature: least sha1(shingle) xor sha1(seed), over trigrams and the last two shorter ends."""
-    shingles = [tuple(words[i : i + 3]) for i in range(len(words))]
-    hashed = {int(hashlib.sha1(str(s).encode()).hexdigest(), 16) for s in shingles}
-    seeds = [int(hashlib.sha1(str(i).encode()).hexdigest(), 16) for i in range(size)]
-    return [min((h ^ s for h in hashed), default=2**160 - 1).to_bytes(20, "big") for s in seeds]
+    """160-bit signature: least sha1(shingle) xor sha1(seed), over trigrams and the last two shorter ends.
+
+    The least is found by the first 64 bits of all, and by the rest where those are equal.
+    """
+    hashed = list({hashlib.sha1(str(tuple(words[i : i + 3])).encode()).digest() for i in range(len(words))})
+    if not hashed:
+        return [(2**160 - 1).to_bytes(20, "big")] * size
+    top = np.frombuffer(b"".join(h[:8] for h in hashed), ">u8").astype(np.uint64)
+    out = []
+    for i in range(size):
+        seed = hashlib.sha1(str(i).encode()).digest()
+        mixed = top ^ np.uint64(int.from_bytes(seed[:8], "big"))
+        ties = np.flatnonzero(mixed == mixed.min())
+        out.append(min((int.from_bytes(hashed[k], "big") ^ int.from_bytes(seed, "big") for k in ties)).to_bytes(20, "big"))
+    return out
 
 
 def sha1_signatures(words: Column) -> Column:

@@ -6,17 +6,21 @@ documents.lang and its code length documents.n_chars.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import tokens as T
 from ..functions import transforms as X
-from ..operators import clean, dedup, licenses, splits, stats
-from ..operators.model_filter import trained_classifier
+from ..operators import clean, dedup, extract, licenses, splits, stats
+from ..operators.docstyles import parsed_docstring
+from ..operators.model_filter import keep_by_model, trained_classifier
 from ..sources.tables import read_parquet
 from . import corpus, samples
 
+T_WORD = re.compile(r"\w+")
 SQL: dict[str, str] = {}
 QUERIES: dict = {}
 
@@ -428,7 +432,7 @@ def dedup_anti(spark, sf_dir):
 
 @query()
 def j8_lsh(spark, sf_dir):
-    return dedup.contaminated(grams(spark, sf_dir, "documents", "doc_id"), grams(spark, sf_dir, "benchmark", "item_id"), 0.3)
+    return dedup.contaminated(grams(spark, sf_dir, "documents", "doc_id"), grams(spark, sf_dir, "benchmark", "item_id"), 0.3, recall=0.95)
 
 
 @query()
@@ -458,6 +462,113 @@ def kept_by_language(spark, sf_dir):
     return corpus.kept_by_language(table(spark, sf_dir, "documents"))
 
 
+def files(spark):
+    return spark.createDataFrame([("r", *f) for f in samples.FILES], "repo string, path string, language string, code string")
+
+
+def _head(c: str):
+    return F.split(c, "\n").getItem(0)
+
+
+# What extraction finds in samples.FILES, written down by hand.
+_FUNCTIONS = [
+    ("a.py", "python", "total_price", "items:,rate:float", 3, "def total_price(items, rate: float = 0.2):", "Sums the prices of all items."),
+    ("a.go", "go", "Add", "a:int,b:int", 1, "func Add(a int, b int) int {", "// Add adds the numbers."),
+    ("A.java", "java", "add", "a:int,b:List<String>", 0, "public int add(int a, List<String> b) {", "/**"),
+    ("a.js", "javascript", "join", "first:,last:", 0, "function join(first, last) {", "/** Joins the names."),
+    ("a.rb", "ruby", "count_words", "text:", 1, "def count_words(text)", "# Counts the words of a text."),
+    ("a.rs", "rust", "double", "n:i32", 0, "pub fn double(n: i32) -> i32 {", "/// Doubles the number given."),
+]
+
+
+@query(_values(_FUNCTIONS, "path, language, identifier, parameters, n_comments, first_line, said"))
+def e3_functions(spark, sf_dir):
+    r = corpus.raw(files(spark))
+    parameters = F.array_join(F.transform(F.array_sort(F.map_entries("parameters")), lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(e["value"], F.lit("")))), ",")
+    return r.select("path", "language", "identifier", parameters.alias("parameters"), F.size("comment").alias("n_comments"), _head("code").alias("first_line"), _head("original_docstring").alias("said"))
+
+
+@query(_values([("a.py", "Basket", "Store,list"), ("A.java", "A", "")], "path, identifier, bases"))
+def e4_classes(spark, sf_dir):
+    return corpus.raw(files(spark), level="class").select("path", "identifier", F.array_join(F.array_sort(F.map_keys("parameters")), ",").alias("bases"))
+
+
+_INLINE = [
+    ("a.py", "# start from nothing", "def total_price(items, rate: float = 0.2):", "total = 0", 13, 4, 13, 24),
+    ("a.py", "# add the tax\n# to the sum", "total = 0", "if rate:", 17, 4, 18, 16),
+    ("a.go", "// and the other", "func Add(a int, b int) int {", "y := b", 2, 1, 2, 17),
+    ("a.rb", "# one more", "def count_words(text)", "end", 3, 11, 3, 21),
+]
+
+
+@query(_values(_INLINE, "path, original_comment, before, after, first_line, first_column, last_line, last_column"))
+def e5_inline(spark, sf_dir):
+    r = corpus.raw(files(spark), level="inline")
+    place = [F.col(p).getItem(k).alias(n) for p, k, n in (("start_point", 0, "first_line"), ("start_point", 1, "first_column"), ("end_point", 0, "last_line"), ("end_point", 1, "last_column"))]
+    return r.select("path", "original_comment", _head("prev_context.code").alias("before"), _head("next_context.code").alias("after"), *place)
+
+
+_SAID = [
+    ("a.py", "Sums the prices of all items.", "items,rate", "extra", "the price of all items together", "float", "ValueError"),
+    ("A.java", "Adds two numbers to each other.", "a,b", "", "the sum of both numbers", None, None),
+    ("a.js", "Joins the names.", "first,last", "", "both of the names together", "string", None),
+    ("a.rb", "Counts the words of a text.", "text", "", None, None, None),
+    ("a.rs", "Doubles the number given.", "n", "", None, None, None),
+]
+
+
+def documented_files(spark):
+    r = corpus.raw(files(spark))
+    return r.select("path", "language", parsed_docstring(F.col("original_docstring"), F.col("parameters"), F.col("language")).alias("s")).where("s.docstring is not null").select("path", "language", "s.*")
+
+
+@query(_values(_SAID, "path, docstring, params, outliers, returns, return_type, raise_type"))
+def e7_docstrings(spark, sf_dir):
+    names = lambda c: F.array_join(F.array_sort(F.transform(f"docstring_params.{c}", lambda p: p["identifier"])), ",")
+    first = lambda c, x: F.get(F.col(f"docstring_params.{c}"), F.lit(0))[x]
+    return documented_files(spark).select("path", "docstring", names("params").alias("params"), names("outlier_params").alias("outliers"), first("returns", "docstring").alias("returns"), first("returns", "type").alias("return_type"), first("raises", "type").alias("raise_type"))
+
+
+@query(_values([("python", 1, 1, 5), ("java", 1, 1, 3), ("javascript", 1, 1, 3), ("ruby", 1, 0, 1), ("rust", 1, 0, 1)], "language, n, with_parts, attributes"))
+def a9_a10_documented(spark, sf_dir):
+    return stats.documented(documented_files(spark), "language")
+
+
+def _on_comments(name: str, step, want: list[str | None]) -> None:
+    def run(spark, sf_dir):
+        return spark.createDataFrame([(k, c) for k, c in enumerate(samples.COMMENTS, 1)], "id int, comment string").select("id", step(F.col("comment")).alias("text"))
+
+    run.__name__ = name
+    query(_values([(k, w) for k, w in enumerate(want, 1)], "id, text"))(run)
+
+
+_SAME = dict(enumerate(samples.COMMENTS, 1))
+_on_comments("t1_spans", clean.spans_dropped, list((_SAME | {6: "Returns the surface  of it.", 7: "\nPrints  the value of it ", 9: " Starts the engine ", 10: "\nLoads the file:"}).values()))
+_on_comments("t6_ornaments", clean.ornaments_trimmed, list((_SAME | {2: " TODO: Why is he using Math.round?".strip(), 3: "public String transformTypeID(URI typeuri){", 7: "Prints {@code the value} of it (i.e. all of it)", 8: "first line here\nsecond line there", 9: "Starts the engine", 10: "=====\nLoads the file:"}).values()))
+_on_comments("t14_noise", clean.noise_removed, ["将JSONArray转换为Bean的List, 默认为ArrayList */", "Why is he using Math.round?", "public String transformTypeID(URI typeuri){", "Do we need to show the upgrade wizard prompt? */", "This function is not in use */", "Returns the surface  of it.", "Prints  the value of it", "first line here\nsecond line there", "Starts the engine", "Loads the file.", "Sorts the list of names.", "Keeps this sentence. Is this one kept? And this one isn't.", "Returns &lt;b&gt; of <b>all</b> values there.", ""])
+_on_comments("t21_literals", clean.cleaned, [None, None, None, None, "This function is not in use", "Returns the surface  of it.", "Prints  the value of it", "first line here\nsecond line there", "Starts the engine", "Loads the file.", "Sorts the list of names.", "Keeps this sentence. Is this one kept. And this one isn't.", "Returns <b> of all values there.", None])
+
+
+@query(_values([(1,), (5,)], "id"))
+def p33_pairs(spark, sf_dir):
+    import pandas as pd
+
+    def shares_a_word(docstrings, codes):
+        return pd.Series([int(bool(set(T_WORD.findall(a)) & set(T_WORD.findall(b)))) for a, b in zip(docstrings, codes)], dtype="int32")
+
+    return keep_by_model(spark.createDataFrame(samples.PAIRS, "id int, docstring string, code string"), shares_a_word).select("id")
+
+
+@query(f"select doc_id, {_MATH} as math from {_TEXTS}")
+def p8_math(spark, sf_dir):
+    return texts(spark, sf_dir).select("doc_id", P.about_math(F.col("text")).alias("math"))
+
+
+@query(r"select p_partkey, list_transform(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(p_brand || p_type, '([a-z0-9])([A-Z])', '\1 \2', 'g'), '([0-9])([A-Za-z])', '\1 \2', 'g'), '([A-Za-z])([0-9])', '\1 \2', 'g'), '[\s#_]+', ' ', 'g'), ' '), lambda x: x <> ''), lambda x: lower(x)) as parts from part")
+def t16_identifier_parts(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.identifier_parts(F.regexp_replace(F.concat("p_brand", "p_type"), "#", " ")).alias("parts"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

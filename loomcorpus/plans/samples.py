@@ -49,3 +49,66 @@ TEXTS = [
 ]
 #: (name, comment) pairs, some of which say no more than the name.
 NAMES = [("getUserName", "get user name"), ("parse_http2Response", "Parse http 2 response"), ("close", "Closes the file and gives its handle back"), ("setValue", "set the value"), ("x", "y")]
+
+_PYTHON = '''import os
+
+def total_price(items, rate: float = 0.2):
+    """Sums the prices of all items.
+
+    Args:
+        items (list): the items that are bought
+        extra: not declared anywhere in here
+
+    Returns:
+        float: the price of all items together
+
+    Raises:
+        ValueError: if an item has no price
+    """
+    # start from nothing
+    total = 0
+    for item in items:
+        total += item.price
+    # add the tax
+    # to the sum
+    if rate:
+        total *= 1 + rate
+    return total
+
+
+def get_rate():
+    return 0.2
+
+
+class Basket(Store, list):
+    """What somebody wants to buy."""
+
+    def is_full(self):
+        return len(self) > 99 or self.closed
+'''
+_GO = "package a\n\n// Add adds the numbers.\n// It never fails.\nfunc Add(a int, b int) int {\n\tx := a\n\t// and the other\n\ty := b\n\treturn x + y\n}\n"
+_JAVA = 'class A {\n  /**\n   * Adds two numbers to each other.\n   * @param a the first of the numbers\n   * @return the sum of both numbers\n   */\n  public int add(int a, List<String> b) {\n    String s = "}";\n    int c = a + 1;\n    return c;\n  }\n}\n'
+_SCRIPT = "/** Joins the names.\n * @param {string} first - the name that comes first\n * @returns {string} both of the names together\n */\nfunction join(first, last) {\n  const gap = ' ';\n  const all = first + gap;\n  return all + last;\n}\n"
+_RUBY = "# Counts the words of a text.\ndef count_words(text)\n  n = 0\n  text.split.each do |w|\n    n += 1 # one more\n  end\n  n\nend\n"
+_RUST = "/// Doubles the number given.\npub fn double(n: i32) -> i32 {\n    let a = n;\n    let b = n;\n    a + b\n}\n"
+#: (path, language, code) files; one of them is broken, and one in a language that isn't read.
+FILES = [("a.py", "Python", _PYTHON), ("a.go", "go", _GO), ("A.java", "java", _JAVA), ("a.js", "javascript", _SCRIPT), ("a.rb", "ruby", _RUBY), ("a.rs", "rust", _RUST), ("bad.py", "python", "def broken(:\n  pass"), ("a.cob", "cobol", "x"), ("none.py", "python", None)]
+#: Comments as they stand in code, for the cleaning steps.
+COMMENTS = [
+    "/* 将JSONArray转换为Bean的List, 默认为ArrayList */",
+    "// TODO: Why is he using Math.round?",
+    "// public String transformTypeID(URI typeuri){",
+    "/* Do we need to show the upgrade wizard prompt? */",
+    "/* fixme: This function is not in use */",
+    "Returns the surface (e.g. it's a software surface) of it.",
+    "--------\nPrints {@code the value} of it (i.e. all of it)",
+    "* first line here\n* second line there",
+    "***** Starts the engine *****",
+    "=====\nLoads the file:",
+    "sort_all(): Sorts the list of names;",
+    "Keeps this sentence. Is this one kept? And this one isn't.",
+    "Returns &lt;b&gt; of <b>all</b> values there.",
+    "",
+]
+#: (id, docstring, code) pairs for a model that keeps those which share a word.
+PAIRS = [(1, "adds the numbers", "x = numbers + 1"), (2, "closes the file", "f.open()"), (3, None, "x"), (4, "", ""), (5, "open it", "f.open()")]
