@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -24,8 +25,8 @@ _RULERS = re.compile(r"(?:-|=|#|\*){5,}")
 _INLINE_TAG = re.compile(r"\{(@.*?)\}")
 _LINKS = [re.compile(rf"\{a}(?:see|eg.|http|e\.g).*?\{b}") for a, b in ("()", "<>")]
 _FRAMED = re.compile("|".join(rf"\{c}.*\{c}" for c in "*+-/=_"))
-_HEADS = [re.compile(rf"^\{c}{{2,}}") for c in ORNAMENTS]
-_TAILS = [re.compile(rf"\{c}{{2,}}$") for c in ORNAMENTS]
+_RULER_LINE = re.compile(r"^[^\S\n]*[*+/=-][^\S\n]*$", re.M)
+_HEAD, _TAIL = (re.compile(p % re.escape(ORNAMENTS)) for p in (r"\A(?:([%s])\1+)+", r"(?:([%s])\1+)+\Z"))
 _NAMES = [re.compile(r"^[a-zA-Z0-9_()]+:"), re.compile(r"^[a-zA-Z0-9_()]+\s-")]
 _SENTENCE = re.compile(r"(?<=.)[.!?](?=\s+)")
 _TOKEN = re.compile(TOKEN)
@@ -58,32 +59,26 @@ def drop_links(text: str) -> str:
 
 
 def drop_markers(text: str) -> str:
-    for mark in X.MARKERS:
-        if mark in text:
-            text = text.replace(mark, "").strip()
-    return text
+    return reduce(lambda rest, mark: rest.replace(mark, "").strip() if mark in rest else rest, X.MARKERS, text)
 
 
 def blank_rulers(text: str) -> str:
-    return "\n".join("" if x.strip() and x.strip() in list("*+-/=") else x for x in text.strip().split("\n")).strip()
+    return _RULER_LINE.sub("", text.strip()).strip()
 
 
 def drop_framed_lines(text: str) -> str:
     return "\n".join(x for x in map(str.strip, text.strip().split("\n")) if not _FRAMED.fullmatch(x)).strip()
 
 
+def _bare(line: str) -> str:
+    while (start := line.removeprefix("* ")) != (line := _TAIL.sub("", _HEAD.sub("", start))):
+        pass
+    return line
+
+
 def trim_ornaments(text: str) -> str:
     """Of each line a leading "* ", and runs of two or more of one ornament at both ends, until none is left."""
-    lines = text.strip().split("\n")
-    for i, line in enumerate(lines):
-        before = None
-        while before != line:
-            line = line.removeprefix("* ")
-            before = line
-            for run in (*_HEADS, *_TAILS):
-                line = run.sub("", line)
-        lines[i] = line
-    return "\n".join(lines).strip()
+    return "\n".join(map(_bare, text.strip().split("\n"))).strip()
 
 
 def drop_leading_name(text: str) -> str:
