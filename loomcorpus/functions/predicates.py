@@ -169,6 +169,16 @@ def licensed(licenses: Column, allowed: list[str] = LICENSES) -> Column:
     return F.forall(licenses, lambda x: x.isin(list(allowed)))
 
 
+def licensed_by_one(license: Column, allowed: list[str] = ("MIT",)) -> Column:
+    """A single licence is allowed; none isn't."""
+    return F.coalesce(license.isin(list(allowed)), F.lit(False))
+
+
+def specific_pattern(text: Column) -> Column:
+    """Never holds for ASCII text: it asks one first character to be a letter and not alphanumeric."""
+    return F.when(text.isNotNull(), F.lit(False))
+
+
 def documentation_fits(n_tokens: Column) -> Column:
     return n_tokens.between(6, 499)
 

@@ -36,11 +36,22 @@ def extracted(records: DataFrame) -> DataFrame:
     return parsed.drop("docstring", "docstring_tokens").select("*", "__p.*").drop("__p")
 
 
+#: Columns of a finished record, by the kind of their type.
+COLUMNS = {"repo": "string", "path": "string", "language": "string", "license": None, "identifier": None, "parameters": "map", "code": "string", "code_tokens": "array", "comment": None, "docstring": "string", "docstring_tokens": "array", "docstring_params": "struct", "short_docstring": "string", "short_docstring_tokens": "array"}
+
+
+def check_schema(records: DataFrame) -> None:
+    """Finished records have all COLUMNS, of their types."""
+    types = dict(records.dtypes)
+    wrong = [c for c, kind in COLUMNS.items() if c not in types or (kind and not types[c].startswith(kind))]
+    if wrong:
+        raise TypeError(f"missing, or of another type: {wrong}")
+
+
 def valid(records: DataFrame) -> DataFrame:
-    """What a record must have: names, code, documentation; a licence may be null."""
-    needed = ("repo", "path", "language", "identifier", "code", "docstring")
+    """Records whose typed columns, those of COLUMNS that are there, aren't null, and whose code and docstring aren't empty."""
     ok = F.lit(True)
-    for c in needed:
+    for c in (c for c, kind in COLUMNS.items() if kind and c in records.columns):
         ok &= F.col(c).isNotNull()
     return records.where(ok & (F.col("docstring") != "") & (F.col("code") != ""))
 

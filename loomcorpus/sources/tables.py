@@ -14,6 +14,7 @@ CORRUPT = "_corrupt_record"
 #: Field mappings of common sources: canonical name -> source field.
 MAPPINGS = {
     "codeparrot": {"code": "code", "repo": "repo_name", "path": "path", "language": "language", "license": "license", "size": "size"},
+    "records": {c: c for c in "code repo path language identifier parameters code_tokens original_docstring comment".split()},
     "csn": {"code": "original_string", "repo": "repo", "path": "path", "language": "language"},
     "stack": {"code": "content", "repo": "max_stars_repo_name", "path": "max_stars_repo_path", "language": "lang", "license": "max_stars_repo_licenses", "hexsha": "hexsha", "ext": "ext", "size": "size", "stars_count": "max_stars_count", "issues_count": "max_issues_count", "forks_count": "max_forks_count"},
 }
@@ -73,6 +74,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_same_name(df: DataFrame, source: str, folder: str) -> str:
+    """JSON lines in `folder`, under the source's own name. Returns the path."""
+    path = f"{folder.rstrip('/')}/{source.rstrip('/').rpartition('/')[2]}"
+    write_jsonl(df, path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 

@@ -170,6 +170,40 @@ def test_sources(spark, tmp_path):
     assert tables.read_csv(spark, str(tmp_path / "csv"), "id int, set_name string").count() == 2
 
 
+def test_more_sources_and_sinks(spark, tmp_path):
+    raw = spark.createDataFrame([("f()", "r", "p", "go", "f", None, ["f"], "// f", None)], "code string, repo string, path string, language string, identifier string, parameters map<string,string>, code_tokens array<string>, original_docstring string, comment array<string>")
+    assert tables.project(raw, tables.MAPPINGS["records"]).collect() == raw.collect()
+    with pytest.raises(KeyError):
+        tables.project(raw, tables.MAPPINGS["stack"])
+    at = tables.write_same_name(raw.select("repo"), "/data/in/part_3.jsonl", str(tmp_path / "kept"))
+    assert at == str(tmp_path / "kept/part_3.jsonl") and spark.read.json(at).first().repo == "r"
+    bench = spark.createDataFrame([(None, "T/1", "says it", "def f():\n", "  return 1"), ("a", "T/2", None, "x", None)], "id string, task_id string, docstring string, declaration string, canonical_solution string")
+    assert [tuple(r) for r in tables.flatten_benchmark(bench).collect()] == [("T/1", "says it", "def f():\n  return 1"), ("a", None, None)]
+    tables.write_report(spark.range(3), str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report")).count() == 3
+    raw.write.parquet(str(tmp_path / "t"))
+    assert tables.read_parquet(spark, str(tmp_path / "t"), "go").count() == 1 and tables.read_parquet(spark, str(tmp_path / "t"), "c").count() == 0
+
+
+def test_finished_records(spark):
+    files = spark.createDataFrame([("r", "a.py", "python", "mit", PYTHON)], "repo string, path string, language string, license string, code string")
+    done = corpus.extracted(corpus.filtered(corpus.raw(files)))
+    corpus.check_schema(done)
+    assert corpus.valid(done).count() == done.count() == 1
+    assert corpus.valid(done.withColumn("code", F.lit(""))).count() == corpus.valid(done.withColumn("repo", F.lit(None).cast("string"))).count() == 0
+    for broken in (done.drop("license"), done.withColumn("parameters", F.lit("x"))):
+        with pytest.raises(TypeError):
+            corpus.check_schema(broken)
+
+
+def test_one_licence(spark):
+    from loomcorpus.functions import predicates as P
+
+    df = spark.createDataFrame([("MIT",), ("GPL",), (None,)], "l string")
+    assert [r[0] for r in df.select(P.licensed_by_one(F.col("l"))).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(P.specific_pattern(F.col("l"))).collect()] == [False, False, None]
+
+
 def test_streams(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text('{"id": 1, "text": "Adds two numbers together nicely."}\n{"id": 2, "text": "no"}\n{"id": 3, "text": "caf\\u00e9 au lait now"}\n')
