@@ -15,8 +15,12 @@ def with_id(df: DataFrame, code: str = "code", to: str = "id") -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: str | list[str], order: list) -> DataFrame:
-    """The first row of each key. min_by over whole rows: partial aggregation, no sort of a hot key."""
-    keys = [key] if isinstance(key, str) else key
+    """The first row of each key. min_by over whole rows: partial aggregation, no sort of a hot key.
+
+    Long texts are grouped by their digest of 128 bits, so that they are shuffled once, in the row.
+    """
+    types = dict(df.dtypes)
+    keys = [F.md5(k).alias(f"__k{i}") if types[k] == "string" else F.col(k) for i, k in enumerate([key] if isinstance(key, str) else key)]
     first = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("row"))
     return first.select("row.*")
 
