@@ -31,7 +31,7 @@ from .common import _powers, mix64, release
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters encoded at a time; a longer text is cut at a word start.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Slots of the table of pairs: 9 bytes each.
 PAIRS = 1 << 20
 NONE = np.uint16(0xFFFF)
