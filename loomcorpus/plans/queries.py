@@ -529,7 +529,10 @@ def e7_docstrings(spark, sf_dir):
     return documented_files(spark).select("path", "docstring", names("params").alias("params"), names("outlier_params").alias("outliers"), first("returns", "docstring").alias("returns"), first("returns", "type").alias("return_type"), first("raises", "type").alias("raise_type"))
 
 
-@query(_values([("python", 1, 1, 5), ("java", 1, 1, 3), ("javascript", 1, 1, 3), ("ruby", 1, 0, 1), ("rust", 1, 0, 1)], "language, n, with_parts, attributes"))
+_PARTS = _values([("python", 1, 1, 5), ("java", 1, 1, 3), ("javascript", 1, 1, 3), ("ruby", 1, 0, 1), ("rust", 1, 0, 1)], "language, a, b, c")
+
+
+@query(f"select language, cast(a as bigint) as n, cast(b as bigint) as with_parts, cast(c as bigint) as attributes from ({_PARTS})")
 def a9_a10_documented(spark, sf_dir):
     return stats.documented(documented_files(spark), "language")
 
