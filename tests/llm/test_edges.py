@@ -22,7 +22,7 @@ ROWS = [
     (9, "▁ é中\U0001f600 \x00 ok"),
     (-3, "|" * 300),
 ]
-CLASH = "d t i h r k n p u v root label tree whole sketch copy count w rate rule keep gone fp ids part b g score quality toxic host path c".split()
+CLASH = "__key_d __key_t __gone __text __p __copy __runs __depth __there __lines __rule __rank __words __n_chars d t i h r k n p u v root label tree whole sketch copy count w rate rule keep gone fp ids part b g score quality toxic host path c".split()
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in CLASH)
 
 
