@@ -78,3 +78,51 @@ def test_clean_docstring():
     assert clean.clean_docstring("Adds two numbers together. Why not? More text here") == "Adds two numbers together. Why not. More text here"
     assert clean.clean_docstring("naïve text is not ascii") is None and clean.clean_docstring(None) is None and clean.clean_docstring("two words") is None
     assert clean.html_text("<p>a &amp; b</p>") == "a & b"
+
+
+def test_rules_take_no_longer_than_the_text(spark):
+    """Words without end and words whose patterns nearly match: tried from each place and back again, these take hours."""
+    n = 200_000
+    long = ["A" + "a" * n, "_" + "a" * n, "a" * n + "_", "A1" * n, "a.b(" * (n // 4), "a " * n + "b " * n, "Ab aB " * (n // 3), "a:b,c " * (n // 3)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(long)], "i int, text string").repartition(8)
+    rules = [P.many_variables, P.many_calls, P.many_capitals, P.repeated_word, P.many_symbols, P.few_characters, P.long_word]
+    found = {r[0]: list(r[1:]) for r in df.select("i", *[rule(F.col("text")).alias(rule.__name__) for rule in rules]).collect()}
+    assert found[0] == [False] * 5 + [True, True] and found[2][0] is False and found[3][0] is False and found[4][1] is True and found[6][0] is False
+
+
+def test_rules_are_those_of_plain_python_on_random_texts(spark):
+    """Links, underscores, capitals and frequent words in all orders; shares on both sides of each limit."""
+    import random
+    import re
+
+    draw = random.Random(7)
+    pieces = ["a", "b", "B", "aB", "Ab", "_", "__", ".", "(", " ", " ", " ", "\n", "\t", ":", "-", ",", "HH:MM:SS", "R,G,B", "DD", "API", "1", "x_y", "the", "word", "word", "a.b", "!", "=", "\\log(", "www.", "WWW.a", "Http://a", "abcdefghijklmnopqrstuvwxyz01234567", "é"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 40))) for _ in range(3000)] + [" ".join(draw.choice("abcdefgh"[: draw.randint(1, 8)]) for _ in range(draw.randint(1, 40))) for _ in range(1000)] + [" ".join(draw.choice(["AB", "cd", "ef", "API", "DD", "A_B", "G7"]) for _ in range(draw.randint(8, 20))) for _ in range(1000)]
+    snake, rest = "[A-Za-z0-9_]+_[A-Za-z0-9_]+", "[A-Za-z0-9]*"
+    camel = f"[A-Z]{rest}(?:[a-z]{rest}[A-Z]|[A-Z]{rest}[a-z]){rest}"
+    n = lambda t: len(t.split())
+
+    def frequent(t):
+        words = [w for w in re.split("[^A-Za-z0-9_]+", t) if w and "_" not in w]
+        most = max((words.count(w) for w in set(words) - set(P.COMMON)), default=0)
+        return not words or (most >= 3 and most / len(words) > 0.3)
+
+    plain = {
+        P.many_variables: lambda t: n(t) > 0 and (len(re.findall(snake, t)) + len(re.findall(camel, re.sub(snake, "", t)))) / n(t) > 0.3,
+        P.many_calls: lambda t: n(t) > 0 and len(re.findall("[a-zA-Z0-9]+(?:[.(][a-zA-Z0-9]+)+", t)) / n(t) > 0.2,
+        P.repeated_word: frequent,
+        P.few_characters: clean.few_characters,
+        P.many_symbols: clean.many_symbols,
+        P.many_capitals: clean.many_capitals,
+        P.few_letters: clean.few_letters,
+        P.long_word: clean.long_word,
+        P.has_url: lambda t: re.search(P.URL, t) is not None,
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = df.select("i", *[rule(F.col("text")).alias(rule.__name__) for rule in plain]).orderBy("i").collect()
+    for k, (rule, f) in enumerate(plain.items(), 1):
+        want = [f(t) for t in texts]
+        assert [r[k] for r in got] == want, rule.__name__
+        assert 0 < sum(want) < len(want)
+    nulls = spark.range(1).select(*[rule(F.lit(None).cast("string")).alias(rule.__name__) for rule in P.STRICT]).first()
+    assert set(nulls) == {None}
