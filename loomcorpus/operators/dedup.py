@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import tokens
 
 NGRAM, MIN_TOKENS, PERMUTATIONS, THRESHOLD = 3, 5, 128, 0.8
+#: functions.tokens in Python: white space is that of ASCII.
+WORDS = re.compile(r"[A-Za-z0-9_]+|[^ \t\n\x0b\f\rA-Za-z0-9_]")
 
 
 def ngrams(words: Column, n: int = NGRAM, least: int = MIN_TOKENS) -> Column:
@@ -22,9 +25,21 @@ def ngrams(words: Column, n: int = NGRAM, least: int = MIN_TOKENS) -> Column:
 
 
 def with_ngrams(df: DataFrame, key: str, text: str, n: int = NGRAM) -> DataFrame:
-    """(key, grams), tokens made once: the explode between keeps them from being made again for each window."""
-    once = df.select(key, F.explode(F.array(tokens(F.lower(F.coalesce(text, F.lit("")))))).alias("words"))
-    return once.select(key, ngrams(F.col("words"), n).alias("grams"))
+    """(key, grams) as of `ngrams` over the tokens of the lower-case text, some documents at a time."""
+    some = df.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("text"))
+
+    def grams(lower: str) -> list[str]:
+        words = WORDS.findall(lower)
+        return list(dict.fromkeys(map(" ".join, zip(*(words[i:] for i in range(n)))))) if len(words) >= max(MIN_TOKENS, n) else []
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                made = pa.array(map(grams, part.column(1).to_pylist()), pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), made], [key, "grams"])
+
+    return some.mapInArrow(run, f"`{key}` {some.schema[key].dataType.simpleString()}, grams array<string>")
 
 
 def bands(permutations: int = PERMUTATIONS, threshold: float = THRESHOLD) -> tuple[int, int]:
@@ -60,9 +75,15 @@ def signature(grams: Column, permutations: int = PERMUTATIONS) -> Column:
         out = np.empty((len(some), permutations), np.int64)
         if len(some):
             flat = np.concatenate([np.asarray(h, np.int64) for h in hashed.iloc[some]]).view(np.uint64)
-            first = np.cumsum(sizes[some]) - sizes[some]
-            for k in range(permutations):
-                out[:, k] = np.minimum.reduceat((flat * a[k] + b[k]) >> np.uint64(1), first).view(np.int64)
+            ends = np.cumsum(sizes[some])
+            at = 0
+            while at < len(some):  # as many rows as the processor's cache holds, at least one
+                begin = ends[at] - sizes[some[at]]
+                upto = max(at + 1, int(np.searchsorted(ends, begin + 32_768, "right")))
+                part, first = flat[begin : ends[upto - 1]], ends[at:upto] - sizes[some[at:upto]] - begin
+                for k in range(permutations):
+                    out[at:upto, k] = np.minimum.reduceat((part * a[k] + b[k]) >> np.uint64(1), first).view(np.int64)
+                at = upto
         rows = [np.zeros(0, np.int64)] * len(hashed)
         for i, r in zip(some, out):
             rows[i] = r
@@ -108,23 +129,33 @@ def sha1_signature(words: list[str], size: int = 100) -> list[bytes]:
 
     The least is found by the first 64 bits of all, and by the rest where those are equal.
     """
-    hashed = list({hashlib.sha1(str(tuple(words[i : i + 3])).encode()).digest() for i in range(len(words))})
-    if not hashed:
+    shown = list(map(repr, words))
+    shingles = {f"({a}, {b}, {c})" for a, b, c in zip(shown, shown[1:], shown[2:])} | {f"({', '.join(x)}{',' if len(x) < 2 else ''})" for x in (shown[-2:], shown[-1:])}
+    if not shown:
         return [(2**160 - 1).to_bytes(20, "big")] * size
-    top = np.frombuffer(b"".join(h[:8] for h in hashed), ">u8").astype(np.uint64)
-    out = []
-    for i in range(size):
-        seed = hashlib.sha1(str(i).encode()).digest()
-        mixed = top ^ np.uint64(int.from_bytes(seed[:8], "big"))
-        ties = np.flatnonzero(mixed == mixed.min())
-        out.append(min((int.from_bytes(hashed[k], "big") ^ int.from_bytes(seed, "big") for k in ties)).to_bytes(20, "big"))
-    return out
+    hashed = np.frombuffer(b"".join([hashlib.sha1(x.encode()).digest() for x in shingles]), np.uint8).reshape(-1, 20)
+    seeds = np.frombuffer(b"".join(hashlib.sha1(str(i).encode()).digest() for i in range(size)), np.uint8).reshape(-1, 20)
+    return _least_mixed(hashed, seeds)
+
+
+def _least_mixed(hashed: np.ndarray, seeds: np.ndarray) -> list[bytes]:
+    """For each seed the least of all hashes xor the seed, all of 20 bytes."""
+    top, mask = (np.ascontiguousarray(x[:, :8]).view(">u8").ravel().astype(np.uint64) for x in (hashed, seeds))
+    if len(np.unique(top)) == len(top):
+        some = max(1, 100_000 // len(top))
+        best = np.concatenate([(mask[k : k + some, None] ^ top).argmin(1) for k in range(0, len(mask), some)])
+        flat = (hashed[best] ^ seeds).tobytes()
+        return [flat[i : i + 20] for i in range(0, len(flat), 20)]
+    ties = [np.flatnonzero((top ^ m) == (top ^ m).min()) for m in mask]
+    return [min((h ^ seed).tobytes() for h in hashed[t]) for seed, t in zip(seeds, ties)]
 
 
 def sha1_signatures(words: Column) -> Column:
+    """sha1_signature of arrays of words, or of the tokens of texts."""
+
     @F.pandas_udf("array<binary>")
     def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda w: sha1_signature([] if w is None else list(w)))
+        return batch.map(lambda w: sha1_signature([] if w is None else WORDS.findall(w) if isinstance(w, str) else list(w)))
 
     return run(words)
 
@@ -134,14 +165,14 @@ def agreement(a: Column, b: Column) -> Column:
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(src, tgt, score): every pair of (id, words) rows whose 160-bit signatures agree above the threshold.
+    """(src, tgt, score): every pair of (id, words or text) rows whose 160-bit signatures agree above the threshold.
 
     Signatures that agree above it share a position, so that the join is on (position,
     value) and not of all with all.
     """
 
     def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("id").alias(name), F.posexplode(sha1_signatures("words")).alias("k", "v"))
+        return df.select(F.col("id").alias(name), F.posexplode(sha1_signatures(F.col("words" if "words" in df.columns else "text"))).alias("k", "v"))
 
     pairs = rows(left, "src").join(rows(right, "tgt"), ["k", "v"]).groupBy("src", "tgt").count()
     return pairs.select("src", "tgt", (F.col("count") / 100).alias("score")).where(F.col("score") > threshold)

@@ -212,3 +212,56 @@ def test_streams(spark, tmp_path):
     assert [r.id for r in spark.read.json(str(tmp_path / "out")).collect()] == [1]
     rows = spark.createDataFrame([(datetime.datetime(2024, 1, 1), "a")], "t timestamp, k string")
     assert filters.count_by(rows, "t", "k", "1 hour", "1 hour").first()["count"] == 1
+
+
+def test_signature_is_the_least_of_all_bits():
+    """By plain integers, with quotes and signs in the words; hashes that share their first 64 bits, and none."""
+    import hashlib
+
+    import numpy as np
+
+    from loomcorpus.operators import dedup
+
+    def plain(words):
+        hashed = [int(hashlib.sha1(str(tuple(words[i : i + 3])).encode()).hexdigest(), 16) for i in range(len(words))]
+        return [min((h ^ int(hashlib.sha1(str(i).encode()).hexdigest(), 16) for h in hashed), default=2**160 - 1).to_bytes(20, "big") for i in range(100)]
+
+    for words in ([], ["a"], ["a", "'"], ["'", '"', "\\"], ["é", "\x85", "b", "'", "b"], [str(i * i % 977) for i in range(3000)]):
+        assert dedup.sha1_signature(words) == plain(words)
+    rng = np.random.default_rng(3)
+    hashed, seeds = rng.integers(0, 256, (40, 20), np.uint8), rng.integers(0, 256, (9, 20), np.uint8)
+    hashed[::2, :8] = hashed[0, :8]
+    big = lambda x: int.from_bytes(x.tobytes(), "big")
+    assert dedup._least_mixed(hashed, seeds) == [min(big(h) ^ big(x) for h in hashed).to_bytes(20, "big") for x in seeds]
+
+
+def test_ngrams_of_texts_are_those_of_columns(spark):
+    """White space and signs beyond ASCII, null, and fewer words than needed; signatures of texts are those of their tokens."""
+    from pyspark.sql import functions as F
+
+    from loomcorpus.functions.tokens import tokens
+    from loomcorpus.operators import dedup
+
+    texts = [None, "", "a b c d", "a b c d e", "A b, A b. a B, a b", "\u0130x \u00c4\u00a0b\x1cc d\u2003e_f \U0001f600 g", "x\x0by\fz\r1\t2\n3", "caf\u00e9 au lait du matin"] + ["w%d v u" % (k % 7) * (k % 50) for k in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string").coalesce(1)
+    words = tokens(F.lower(F.coalesce("text", F.lit(""))))
+    for n in (2, 3, 6):
+        got = {r.k: r.grams for r in dedup.with_ngrams(df, "k", "text", n).collect()}
+        assert got == {r.k: r.grams for r in df.select("k", dedup.ngrams(words, n).alias("grams")).collect()} and len(got) == len(texts)
+    a, b = dedup.sha1_signatures(F.col("text")), dedup.sha1_signatures(tokens(F.col("text")))
+    assert df.where("k < 20").select(a.alias("a"), b.alias("b")).where("a != b").count() == 0
+    plan = dedup.with_ngrams(df, "k", "text")._jdf.queryExecution().toString()
+    assert "lambda" not in plan
+    assert "regexp_extract_all" not in dedup.similar_pairs(*[df.select(F.col("k").alias("id"), "text")] * 2)._jdf.queryExecution().toString()
+
+
+def test_signatures_of_many_rows_are_those_of_each(spark):
+    from pyspark.sql import functions as F
+
+    from loomcorpus.operators import dedup
+
+    rows = [(k, [f"{k % 5} {i}" for i in range(n)]) for k, n in enumerate([0, 1, 40_000, 3, 0, 20_000, 20_000, 5, 7])]
+    df = spark.createDataFrame(rows, "k int, grams array<string>")
+    sign = dedup.signature(F.col("grams"), 4)
+    got = {r.k: r.s for r in df.coalesce(1).select("k", sign.alias("s")).collect()}
+    assert got == {r.k: r.s for r in df.repartition(9, "k").select("k", sign.alias("s")).collect()} and [len(got[k]) for k in range(9)] == [0, 4, 4, 4, 0, 4, 4, 4, 4]
