@@ -126,3 +126,18 @@ def test_rules_are_those_of_plain_python_on_random_texts(spark):
         assert 0 < sum(want) < len(want)
     nulls = spark.range(1).select(*[rule(F.lit(None).cast("string")).alias(rule.__name__) for rule in P.STRICT]).first()
     assert set(nulls) == {None}
+
+
+def test_plain_sentences_only_pass_quick_checks(monkeypatch):
+    """Nothing in them could make a rule hold, so that formats aren't replaced and patterns aren't tried."""
+    def fail(*_):
+        raise AssertionError("not needed")
+
+    slow = type("Slow", (), {"findall": fail, "sub": fail, "search": fail})()
+    for name in ("_SNAKE", "_CAMEL", "_CALL", "_URL"):
+        monkeypatch.setattr(clean, name, slow)
+    monkeypatch.setattr(clean, "_flatten", fail)
+    assert not clean.bad_sentence("Returns the sum of two numbers, or none if there is no number to be summed")
+    monkeypatch.undo()
+    for held in ("a_b c_d e_f", "fooBar AbcDef", "x.y a(b", "x" * 31, "WWW.a", "at ftp.x", "a://b http://c", "word word word", "== == ==", "a THIS IS ALL UPPER CASE TEXT WITH MORE THAN TEN WORDS IN IT"):
+        assert clean.bad_sentence(held), held
