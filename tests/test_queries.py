@@ -90,5 +90,10 @@ def test_model_filter_learns_its_labels(spark):
     assert sum(k == bool(q) for k, q in said) / len(said) > 0.9
 
 
+def test_literal_files_take_one_task_and_no_table(spark):
+    found = own.e7_docstrings(spark, "/nowhere")
+    assert found.rdd.getNumPartitions() == 1 and found.count() == 5
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["lang", "kept", "rejected"]
