@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -134,8 +135,12 @@ def sha1_signature(words: list[str], size: int = 100) -> list[bytes]:
     if not shown:
         return [(2**160 - 1).to_bytes(20, "big")] * size
     hashed = np.frombuffer(b"".join([hashlib.sha1(x.encode()).digest() for x in shingles]), np.uint8).reshape(-1, 20)
-    seeds = np.frombuffer(b"".join(hashlib.sha1(str(i).encode()).digest() for i in range(size)), np.uint8).reshape(-1, 20)
-    return _least_mixed(hashed, seeds)
+    return _least_mixed(hashed, _seeds(size))
+
+
+@cache
+def _seeds(size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.sha1(str(i).encode()).digest() for i in range(size)), np.uint8).reshape(-1, 20)
 
 
 def _least_mixed(hashed: np.ndarray, seeds: np.ndarray) -> list[bytes]:
