@@ -66,6 +66,17 @@ def test_literals(spark):
     assert one(P.bad_length(F.lit("a b"))) and one(P.bad_length(F.lit("a b c\n" * 201))) and not one(P.bad_length(F.lit("a b c\n" * 200)))
 
 
+def test_words_end_where_ascii_letters_do(spark):
+    """Letters outside ASCII are no part of a word, at its end as elsewhere; p17_loose took them for one."""
+    held = ["how", "howé is it", "Why—", "is-it", "what's up", "What'é", "whatsé", "what''s", " @generatedé CD", "@x @Generated", "@fooGeneratedß", "@generated-x"]
+    not_held = ["howe", "is_it", "iso", "whatsx", "what5", "éhow", "@generated_", "@generated1 x", "@gen-erated", "generated"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(held + not_held)], "i int, text string")
+    rule = P.question(F.col("text")) | P.generated(F.col("text"))
+    assert got(df, rule) == [True] * len(held) + [False] * len(not_held)
+    padded = F.concat("text", F.lit(" and several other words of a plain sentence"))  # no other rule holds
+    assert got(df, P.bad_sentence(padded, True)) == [True] * len(held) + [False] * len(not_held)
+
+
 def test_noise_removal_only_takes_away():
     for t in TEXTS:
         once = clean.remove_noise(t)
